@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from . import fixed
 from .pages import literal_pattern, page_text
-from .text import all_matches, bind, first_match
+from .text import all_matches, bind, first_item, first_match
 
 
 def header_row(html: Column, headers: Iterable[str]) -> Column:
     """From the first ``<th>`` holding exactly one of the headers to the end of its row; NULL without one."""
     names = "|".join(literal_pattern(h) for h in headers)
-    pattern = rf"(?i:<th\b[^>]*>)(?:<[^>]*>)*(?:{names})(?:</[^>]*>)*(?i:</th>)[\s\S]*?(?i:</tr>|\z)"
+    head = rf"(?i:<th\b[^>]*>)(?:<[^>]*>)*+(?:{names})(?:</(?!(?i:th)\b)[^>]*>)*+(?i:</th>)"
+    pattern = head + r"[\s\S]*?(?i:</tr>|\z)"
     return F.regexp_substr(html, F.lit(pattern))
 
 
@@ -49,7 +50,7 @@ def detail_composer(html: Column) -> Column:
         return F.when(linked, F.substring_index(before_close, ">", -1))
 
     lines = all_matches(html, r"Music by[^\n]*")
-    return F.filter(F.transform(lines, composer), lambda c: c.isNotNull()).getItem(0)
+    return first_item(F.filter(F.transform(lines, composer), lambda c: c.isNotNull()))
 
 
 def _linked_names(html: Column, pattern: str) -> Column:
@@ -57,7 +58,16 @@ def _linked_names(html: Column, pattern: str) -> Column:
 
 
 def _one(html: Column, pattern: str) -> Column:
-    return bind(first_match(html, pattern), lambda e: F.when(e.isNotNull(), F.array(e)))
+    """Text of the last link of the cell's line, as a list of one; NULL without it.
+
+    The greedy reading of the markup is kept: a line that ends in a tag lends its next line to the name.
+    """
+
+    def name(cell: Column) -> Column:
+        either = F.concat(F.regexp_extract(cell, pattern, 1), F.regexp_extract(cell, pattern, 2))
+        return F.when(cell.isNotNull(), F.array(either))
+
+    return bind(F.regexp_substr(html, F.lit(pattern)), name)
 
 
 def detail_directors(html: Column) -> Column:

@@ -1,6 +1,6 @@
 """Sentinels, word lists, sites and regular expressions the results depend on.
 
-The regular expressions keep to the subset that Java and RE2 read alike, and never use ``.``, ``\\s``
+The regular expressions, but for the token, keep to the subset that Java and RE2 read alike, and never use ``.``, ``\\s``
 or ``\\w``: those mean different character sets in different engines.
 """
 
@@ -66,17 +66,20 @@ RELEASE_HEADERS = ("Release dates", "Release", "Release date")
 WRITER_HEADERS = ("Written by", "Story by")
 LIST_ITEM = r"(?i)<li\b[^>]*>([\s\S]*?)</li>"
 TABLE_CELL = r"(?i)<td\b[^>]*>([\s\S]*?)</td>"
-ONE_CREATOR = (
-    rf"<th[^\n]*>[{WS}]*Created by[{WS}]*</th><td [^\n]*<a[{WS}]*href[^\n]*>[{WS}]*([^>\n]*)[{WS}]*</a></td>"
+LINKED_CELL = (
+    rf"</th><td [^\n]*<a[{WS}]*href[^\n]*>"
+    rf"(?:[{WS}]*\n[{WS}]*([^\n]*)[{WS}]*</a></td>|[{WS}]*([^>\n]*)[{WS}]*</a></td>)"
 )
-ONE_DIRECTOR = rf"Directed by[{WS}]*</th><td [^\n]*<a[{WS}]*href[^\n]*>[{WS}]*([^>\n]*)[{WS}]*</a></td>"
+ONE_CREATOR = rf"<th[^\n]*>[{WS}]*Created by[{WS}]*{LINKED_CELL}"
+ONE_DIRECTOR = rf"Directed by[{WS}]*{LINKED_CELL}"
 CREATOR_LIST = r"Created by[\s\S]*?<ul>([\s\S]*?)</ul>"
 DIRECTOR_LIST = r"Directed by[\s\S]*?<ul>([\s\S]*?)</ul>"
 ANCHOR_TEXT = rf"<a[{WS}]*[^>]*>([^\n]*?)</a>"
 WIKI_HREF = rf'(?i)<a[{WS}]+[^>]*href="/wiki/([^"]*)"[^>]*>[^\n]*?</a>'
 
 # Search analysis: words joined by single dots are one token; short English stop list; two characters at least.
-TOKEN = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*"
+# The possessive form is Java's; without it a long run of dotted words recurses once per word.
+TOKEN = r"[\p{L}\p{N}_]++(?:\.[\p{L}\p{N}_]++)*+"
 MIN_TOKEN = 2
 STOP_WORDS = (
     "a", "an", "and", "are", "as", "at", "be", "by", "can", "for", "from", "have", "if", "in", "is", "it",

@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from . import fixed
 
 
+def first_item(c: Column) -> Column:
+    """First item of a list; NULL for an empty list, in ANSI mode too."""
+    return F.get(c, F.lit(0))
+
+
 def bind(c: Column, use: Callable[[Column], Column]) -> Column:
     """Evaluate ``c`` once and hand it to an expression that needs it several times."""
-    return F.transform(F.array(c), use).getItem(0)
+    return first_item(F.transform(F.array(c), use))
 
 
 def strip(c: Column) -> Column:

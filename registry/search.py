@@ -17,12 +17,13 @@ from .sqltext import lit
 CHECKS = Checks()
 
 DOC_FIELDS = ("text", "source", "lang")
+TOKEN = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*"  # the checking engine has no possessive form
 STOPPED = ", ".join(lit(w) for w in fixed.STOP_WORDS)
 
 
 def _postings_sql(source: str, doc: str, fields) -> str:
     parts = " UNION ALL ".join(
-        f"SELECT {doc} AS doc, '{f}' AS field, unnest(regexp_extract_all(lower({f}), {lit(fixed.TOKEN)}, 0)) AS term FROM {source}"
+        f"SELECT {doc} AS doc, '{f}' AS field, unnest(regexp_extract_all(lower({f}), {lit(TOKEN)}, 0)) AS term FROM {source}"
         for f in fields
     )
     return f"""SELECT doc, field, term, count(*) AS tf FROM ({parts}) w
