@@ -8,13 +8,14 @@ or ``\\w``: those mean different character sets in different engines.
 UNKNOWN = "more"  # director unknown; matches any director when linking
 ABSENT = "not found"  # field not present on the page
 
-# The Unicode whitespace characters, as a regex class body and as a set of characters to trim.
-WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The Unicode whitespace characters, as a regex class body and as a set of characters to trim. Single
+# characters and one category make a cheap class; ranges would each be tested in turn.
+WS = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\p{Z}"
 WS_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
     "               　"
 )
-LINE_BREAK = r"\r\n|[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 
 # Site of the stored pages.
 SITE = "https://www.imdb.com"
@@ -38,7 +39,7 @@ FILM_MARK = "Infobox film"
 FILM_BOX = rf"\{{\{{[{WS}]*Infobox[{WS}]*film[{WS}]*\|"
 BRACKETED = r"\([^)]*\)"
 BOX_DIRECTOR = rf"director[{WS}]+=[{WS}]+\[?\[?([^\n]*)"
-BOX_MUSIC_LIST = rf"\|[{WS}]*music[{WS}]*=[{WS}]*\{{\{{plainlist\|([\s\S]*?)[{WS}]*\}}\}}"
+BOX_MUSIC_LIST = rf"\|[{WS}]*music[{WS}]*=[{WS}]*\{{\{{plainlist\|([\s\S]*?)\}}\}}"
 BOX_MUSIC_LINK = rf"music[{WS}]*=[{WS}]*\[\[([^\n]*)\]\]"
 BOX_YEAR_DATED = rf"released[{WS}]*=[{WS}]*\{{\{{[a-zA-Z|{WS}]*\|(\p{{Nd}}{{4}})\|"
 BOX_YEAR_PLAIN = rf"released[{WS}]*=[{WS}]*\p{{Nd}} [a-zA-Z]* (\p{{Nd}}{{4}})"

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import pages
 from ..session import stage
+from .skew import repeat_hot, spread_hot
 
 HUB_DEGREE = 1_000_000  # out-links from which a page counts as a hub
-HUB_SALTS = 64
 
 
 def link_edges(pages_df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -43,12 +43,11 @@ def reach(
     """
     links = edges.select(F.col(src).alias("_src"), F.col(dst).alias("_dst"))
     links = stage(links.filter("_src <> _dst"), "edges")
-    hubs = links.groupBy("_src").agg(F.count(F.lit(1)).alias("_degree")).filter(F.col("_degree") >= hub_degree)
-    hubs = stage(hubs.select("_src", F.lit(True).alias("_hub")), "hubs")
+    degrees = links.groupBy("_src").agg(F.count(F.lit(1)).alias("_degree"))
+    hubs = stage(degrees.filter(F.col("_degree") >= hub_degree).select("_src"), "hubs")
     has_hubs = not hubs.isEmpty()
     if has_hubs:
-        salt = F.when(F.col("_hub"), F.pmod(F.hash("_dst"), F.lit(HUB_SALTS))).otherwise(F.lit(0))
-        links = stage(links.join(hubs, "_src", "left").select("_src", "_dst", salt.alias("_salt")), "edges")
+        links = stage(spread_hot(links, hubs, "_src", "_dst"), "edges")
 
     frontier = stage(seeds.select(F.col(node).alias("_node")).filter("_node IS NOT NULL").distinct(), "reach-0")
     levels = [frontier]
@@ -56,8 +55,7 @@ def reach(
         start = frontier.withColumnRenamed("_node", "_src")
         on = ["_src"]
         if has_hubs:
-            salts = F.when(F.col("_hub"), F.sequence(F.lit(0), F.lit(HUB_SALTS - 1))).otherwise(F.array(F.lit(0)))
-            start = start.join(hubs, "_src", "left").select("_src", F.explode(salts).alias("_salt"))
+            start = repeat_hot(start, hubs, "_src")
             on = ["_src", "_salt"]
         found = links.join(start, on, "left_semi").select(F.col("_dst").alias("_node")).distinct()
         visited = reduce(DataFrame.union, levels)

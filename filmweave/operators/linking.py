@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..session import stage
+from .skew import repeat_hot, spread_hot
 
 ANY_DIRECTOR = "*"
 
@@ -68,32 +69,59 @@ def film_keywords(catalogue: DataFrame, always: str = fixed.ALWAYS_KEYWORD) -> D
     return catalogue.select("title", "director_list", F.explode(words).alias("keyword"))
 
 
-# Gram lengths for the containment join. A keyword uses the longest one that fits it.
-GRAM_LENGTHS = (12, 6, 3, 2, 1)
-SALTS = 16
+# Block lengths of the containment join. A keyword uses the longest q that fits it: 2q - 1 characters hold a
+# whole block wherever they start.
+BLOCKS = (8, 4, 2, 1)
+HOT_BLOCK = 1_000_000  # links under one block from which they are salted
 
 
-def _grams(text: Column, length: int) -> Column:
-    last = F.length(text) - length + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(length))))
+def _link_blocks(links: DataFrame, q: int) -> DataFrame:
+    """Each link's distinct blocks of q characters that start at a multiple of q."""
+    size = F.length("_link")
+    starts = F.when(size >= q, F.sequence(F.lit(1), size - q + 1, F.lit(q))).otherwise(
+        F.array().cast("array<int>")
+    )
+    blocks = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_link"), i, F.lit(q))))
+    return links.select("_link", F.explode(blocks).alias("_block"))
 
 
-def _tiers(keywords: DataFrame, links: DataFrame) -> list[tuple[int, DataFrame, DataFrame]]:
-    """Keywords and link grams by gram length. A link is cut up only for lengths that keywords use."""
-    longer = None
-    tiers = []
-    size = F.length("_word")
-    for length in GRAM_LENGTHS:
-        fits = size >= length
-        if longer is not None:
-            fits = fits & (size < longer)
-        words = keywords.filter(fits)
-        if not words.isEmpty():
-            grams = links.select("_link", F.explode(_grams(F.col("_link"), length)).alias("_gram"))
-            tiers.append((length, words, grams))
-        longer = length
-    return tiers
+def _keyword_blocks(words: DataFrame, q: int) -> DataFrame:
+    """Each keyword's runs of q characters, with the shift at which they would be blocks of a link."""
+    at = F.sequence(F.lit(0), F.length("_word") - q)
+    run = F.substring(F.col("_word"), F.col("_at") + 1, F.lit(q))
+    return words.select("_keyword", "_word", F.explode(at).alias("_at")).select(
+        "_keyword", "_word", F.pmod("_at", F.lit(q)).alias("_shift"), run.alias("_block")
+    )
+
+
+def _tier_pairs(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
+    """Pairs for keywords of at least 2q - 1 characters."""
+    word_blocks = _keyword_blocks(words, q)
+    link_blocks = _link_blocks(links, q)
+    sought = word_blocks.select("_block").distinct()
+    counted = stage(
+        link_blocks.join(sought, "_block", "left_semi").groupBy("_block").agg(F.count(F.lit(1)).alias("_n")),
+        "blocks",
+    )
+    # A shift is possible only if links hold all its blocks; its rarest one stands for it.
+    rarest = (
+        word_blocks.join(counted, "_block", "left")
+        .groupBy("_keyword", "_word", "_shift")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_block")).alias("_pick"))
+        .filter("_pick.n > 0")
+        .select("_keyword", "_word", "_shift", F.col("_pick._block").alias("_block"), "_pick.n")
+    )
+    chosen = stage(rarest, "chosen")
+    on = ["_block"]
+    hot = chosen.filter(F.col("n") >= HOT_BLOCK).select("_block").distinct()
+    if not hot.isEmpty():
+        link_blocks = spread_hot(link_blocks, hot, "_block", "_link")
+        chosen = repeat_hot(chosen, hot, "_block")
+        on = ["_block", "_salt"]
+    # The first place of the keyword fixes the shift, so a pair is found once.
+    place = F.instr("_link", F.col("_word"))
+    found = link_blocks.join(chosen, on).filter((place > 0) & (F.pmod(1 - place, F.lit(q)) == F.col("_shift")))
+    return found.select("_keyword", "_link")
 
 
 def keyword_links(
@@ -101,39 +129,30 @@ def keyword_links(
 ) -> DataFrame:
     """All (keyword, link) pairs where the link holds the keyword with blanks as underscores, each once.
 
-    Containment without comparing every keyword with every link, for lists of any length. A link that
-    holds a keyword holds each of the keyword's grams, so the join runs on one gram and a containment
-    test confirms. The gram is the one that fewest links hold, by exact count: a keyword costs as many
-    candidates as its rarest gram has links, and a keyword with an unseen gram is out at once. Links are
-    salted and the far fewer keywords repeated per salt, so links that crowd under one gram spread out.
+    Containment without comparing every keyword with every link, for lists of any length. Links are cut
+    into blocks of q characters; a keyword in a link covers whole blocks, found at one of q shifts. The
+    join runs on one block per keyword and shift, the one that fewest links hold by exact count, and a
+    containment test confirms. So a link costs length / q rows, a keyword costs as many candidates as its
+    rarest blocks have links, and a block that very many links share is salted.
     """
     words = keywords.select(
         F.col(keyword).alias("_keyword"), F.replace(F.col(keyword), F.lit(" "), F.lit("_")).alias("_word")
     )
-    words = stage(words.filter(F.col("_word").isNotNull()).distinct(), "keywords")
+    words = stage(words.filter("_word IS NOT NULL").distinct(), "keywords")
     distinct_links = stage(links.select(F.col(link).alias("_link")).filter("_link IS NOT NULL").distinct(), "links")
 
     found = []
     if not words.filter("_word = ''").isEmpty():  # every link holds the empty keyword
         found.append(distinct_links.select(F.lit("").alias("_keyword"), "_link"))
-    for length, tier_words, link_grams in _tiers(words, distinct_links):
-        word_grams = tier_words.select("_keyword", "_word", F.explode(_grams(F.col("_word"), length)).alias("_gram"))
-        sought = stage(word_grams.select("_gram").distinct(), "grams")
-        counted = link_grams.join(sought, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-        rarest = (
-            word_grams.join(counted, "_gram", "left")
-            .groupBy("_keyword", "_word")
-            .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")).alias("_pick"))
-            .filter("_pick.n > 0")
-            .select("_keyword", "_word", F.col("_pick._gram").alias("_gram"))
-        )
-        chosen = stage(rarest, "chosen").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = link_grams.withColumn("_salt", F.pmod(F.hash("_link"), F.lit(SALTS)))
-        pairs = salted.join(chosen, ["_gram", "_salt"]).filter(F.contains("_link", "_word"))
-        found.append(pairs.select("_keyword", "_link"))
-
+    upper = None
+    for q in BLOCKS:
+        fits = F.length("_word") >= 2 * q - 1
+        tier = words.filter(fits if upper is None else fits & (F.length("_word") < upper))
+        upper = 2 * q - 1
+        if not tier.isEmpty():
+            found.append(_tier_pairs(tier, distinct_links, q))
     if not found:
-        found = [words.select("_keyword", F.lit(None).cast("string").alias("_link")).filter("_link IS NOT NULL")]
+        found.append(words.select("_keyword", F.col("_word").alias("_link")))  # no keywords, no rows
     pairs = reduce(DataFrame.unionByName, found)
     return pairs.select(F.col("_keyword").alias(keyword), F.col("_link").alias(link))
 

@@ -20,7 +20,7 @@ TITLE = strip(sub("title", fixed.BRACKETED))
 _line = swap(group("txt", fixed.BOX_DIRECTOR), ("<br>", "; "), ("]]", ""), ("[[", ""))
 DIRECTORS = f"coalesce({split_trimmed(strip(f'string_split({sub(strip(_line), fixed.BRACKETED)}, {lit(chr(124))})[1]'), ';')}, ['not found'])"
 
-_body = swap(group("txt", fixed.BOX_MUSIC_LIST), ("*", ""), ("[[", ""), ("]]", ""), ("\n", ", "))
+_body = swap(f"rtrim({group('txt', fixed.BOX_MUSIC_LIST)}, '{fixed.WS_CHARS}')", ("*", ""), ("[[", ""), ("]]", ""), ("\n", ", "))
 _body = strip(f"ltrim({strip(sub(strip(_body), f'[{fixed.WS}]+', ' '))}, ',')")
 MUSIC = f"""CASE WHEN regexp_matches(txt, {lit(fixed.BOX_MUSIC_LIST)})
   THEN list_transform(string_split({_body}, ';'), lambda x: {_body})
