@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.text import all_matches
 from ..session import stage
-from .skew import repeat_hot, spread_hot
 
 ANY_DIRECTOR = "*"
 
@@ -69,59 +69,37 @@ def film_keywords(catalogue: DataFrame, always: str = fixed.ALWAYS_KEYWORD) -> D
     return catalogue.select("title", "director_list", F.explode(words).alias("keyword"))
 
 
-# Block lengths of the containment join. A keyword uses the longest q that fits it: 2q - 1 characters hold a
-# whole block wherever they start.
-BLOCKS = (8, 4, 2, 1)
-HOT_BLOCK = 1_000_000  # links under one block from which they are salted
+# Gram lengths of the containment join. A keyword uses the longest one that fits it.
+GRAMS = (12, 6, 3, 2, 1)
+SALTS = 16
+BROADCAST_KEYWORDS = 200_000  # keywords of one gram length that may be broadcast, by count; one short row each
 
 
-def _link_blocks(links: DataFrame, q: int) -> DataFrame:
-    """Each link's distinct blocks of q characters that start at a multiple of q."""
-    size = F.length("_link")
-    starts = F.when(size >= q, F.sequence(F.lit(1), size - q + 1, F.lit(q))).otherwise(
-        F.array().cast("array<int>")
-    )
-    blocks = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_link"), i, F.lit(q))))
-    return links.select("_link", F.explode(blocks).alias("_block"))
-
-
-def _keyword_blocks(words: DataFrame, q: int) -> DataFrame:
-    """Each keyword's runs of q characters, with the shift at which they would be blocks of a link."""
-    at = F.sequence(F.lit(0), F.length("_word") - q)
-    run = F.substring(F.col("_word"), F.col("_at") + 1, F.lit(q))
-    return words.select("_keyword", "_word", F.explode(at).alias("_at")).select(
-        "_keyword", "_word", F.pmod("_at", F.lit(q)).alias("_shift"), run.alias("_block")
-    )
+def _grams(text: Column, q: int) -> Column:
+    """Distinct runs of q characters of a text; the look-ahead lets them overlap."""
+    return F.array_distinct(all_matches(text, f"(?s)(?=(.{{{q}}}))", 1))
 
 
 def _tier_pairs(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
-    """Pairs for keywords of at least 2q - 1 characters."""
-    word_blocks = _keyword_blocks(words, q)
-    link_blocks = _link_blocks(links, q)
-    sought = word_blocks.select("_block").distinct()
-    counted = stage(
-        link_blocks.join(sought, "_block", "left_semi").groupBy("_block").agg(F.count(F.lit(1)).alias("_n")),
-        "blocks",
-    )
-    # A shift is possible only if links hold all its blocks; its rarest one stands for it.
-    rarest = (
-        word_blocks.join(counted, "_block", "left")
-        .groupBy("_keyword", "_word", "_shift")
-        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_block")).alias("_pick"))
-        .filter("_pick.n > 0")
-        .select("_keyword", "_word", "_shift", F.col("_pick._block").alias("_block"), "_pick.n")
+    """Pairs for keywords of at least q characters."""
+    grams = words.select("_keyword", "_word", F.explode(_grams(F.col("_word"), q)).alias("_gram"))
+    shared = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    chosen = (
+        grams.join(shared, "_gram")
+        .groupBy("_keyword", "_word")
+        .agg(F.min(F.struct("_n", "_gram")).alias("_pick"))
+        .select("_keyword", "_word", F.col("_pick._gram").alias("_gram"))
     )
-    chosen = stage(rarest, "chosen")
-    on = ["_block"]
-    hot = chosen.filter(F.col("n") >= HOT_BLOCK).select("_block").distinct()
-    if not hot.isEmpty():
-        link_blocks = spread_hot(link_blocks, hot, "_block", "_link")
-        chosen = repeat_hot(chosen, hot, "_block")
-        on = ["_block", "_salt"]
-    # The first place of the keyword fixes the shift, so a pair is found once.
-    place = F.instr("_link", F.col("_word"))
-    found = link_blocks.join(chosen, on).filter((place > 0) & (F.pmod(1 - place, F.lit(q)) == F.col("_shift")))
-    return found.select("_keyword", "_link")
+    chosen = stage(chosen, "chosen")
+    link_grams = links.select("_link", F.explode(_grams(F.col("_link"), q)).alias("_gram"))
+    if chosen.count() <= BROADCAST_KEYWORDS:
+        found = link_grams.join(F.broadcast(chosen), "_gram")
+    else:
+        # A merge join: the planner does not see how much the links grow when cut, and must not broadcast them.
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salted = link_grams.withColumn("_salt", F.pmod(F.hash("_link"), F.lit(SALTS)))
+        found = salted.join(chosen.withColumn("_salt", salts).hint("merge"), ["_gram", "_salt"])
+    return found.filter(F.contains("_link", "_word")).select("_keyword", "_link")
 
 
 def keyword_links(
@@ -129,11 +107,12 @@ def keyword_links(
 ) -> DataFrame:
     """All (keyword, link) pairs where the link holds the keyword with blanks as underscores, each once.
 
-    Containment without comparing every keyword with every link, for lists of any length. Links are cut
-    into blocks of q characters; a keyword in a link covers whole blocks, found at one of q shifts. The
-    join runs on one block per keyword and shift, the one that fewest links hold by exact count, and a
-    containment test confirms. So a link costs length / q rows, a keyword costs as many candidates as its
-    rarest blocks have links, and a block that very many links share is salted.
+    Containment without comparing every keyword with every link, for lists of any length. A link that
+    holds a keyword holds each of its grams, so the join runs on one gram per keyword and a containment
+    test confirms. The gram is the one that fewest keywords share: then a gram of a link leads to few
+    keywords, and the candidates stay in proportion to the links' characters. Grams that crowd the links
+    are spread by salt, for which each keyword, one row, is repeated. Keywords that are few by count are
+    broadcast instead, and then no link is shuffled.
     """
     words = keywords.select(
         F.col(keyword).alias("_keyword"), F.replace(F.col(keyword), F.lit(" "), F.lit("_")).alias("_word")
@@ -144,11 +123,11 @@ def keyword_links(
     found = []
     if not words.filter("_word = ''").isEmpty():  # every link holds the empty keyword
         found.append(distinct_links.select(F.lit("").alias("_keyword"), "_link"))
-    upper = None
-    for q in BLOCKS:
-        fits = F.length("_word") >= 2 * q - 1
-        tier = words.filter(fits if upper is None else fits & (F.length("_word") < upper))
-        upper = 2 * q - 1
+    longer = None
+    for q in GRAMS:
+        fits = F.length("_word") >= q
+        tier = words.filter(fits if longer is None else fits & (F.length("_word") < longer))
+        longer = q
         if not tier.isEmpty():
             found.append(_tier_pairs(tier, distinct_links, q))
     if not found:

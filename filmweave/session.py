@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet may hold ten times its size or more. Before a run only truly small files may be broadcast;
+    # during it, AQE goes by measured sizes.
+    "spark.sql.sources.fileCompressionFactor": "10",
     "spark.sql.session.timeZone": "UTC",
 }
 
