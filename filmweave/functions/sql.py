@@ -32,7 +32,8 @@ def _first(pattern: str) -> str:
 
 
 def _split(e: str, separator: str) -> str:
-    return f"transform(split({e}, '{separator}'), e -> {_strip('e')})"
+    around = _pattern(f"[{fixed.WS}]*{separator}[{fixed.WS}]*")
+    return f"split({_strip(e)}, {around})"
 
 
 _BLANKS = _pattern(f"[{fixed.WS}]+")

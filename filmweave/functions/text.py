@@ -37,8 +37,8 @@ def clean_text(c: Column) -> Column:
 
 
 def split_trimmed(c: Column, separator: str) -> Column:
-    """Split on a one-character separator and trim every part."""
-    return F.transform(F.split(c, separator), strip)
+    """Split on a one-character separator, the parts trimmed: separators take the whitespace around them."""
+    return F.split(strip(c), f"[{fixed.WS}]*{separator}[{fixed.WS}]*")
 
 
 def split_directors(c: Column) -> Column:

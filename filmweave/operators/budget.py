@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .quality import row_bytes
 
 FANOUT = 1024  # ranges per step, and so the most rows that reach the driver at once
@@ -17,10 +18,10 @@ def byte_budget(
 
     No global window: sizes are never negative, so the rows kept are a prefix of the order and one cutoff
     ordinal says it all. It is found by descent. Totals over at most ``FANOUT`` equal ranges of the
-    ordinal show the range in which the budget runs out; that range alone is divided again, and the scan
-    reads only it. The result is a plain filter that the scan can use.
+    ordinal show the range in which the budget runs out, and that range alone is divided again. The result is a plain filter that the scan can use.
     """
     sized = pages.select(F.col(ordinal).cast("bigint").alias("_o"), row_bytes(pages, list(columns)).alias("_b"))
+    sized = stage(sized, "sizes")  # the texts are read once, for their sizes
     low, high = sized.agg(F.min("_o"), F.max("_o")).first()
     if low is None:
         return pages

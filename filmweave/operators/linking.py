@@ -72,7 +72,7 @@ def film_keywords(catalogue: DataFrame, always: str = fixed.ALWAYS_KEYWORD) -> D
 # Gram lengths of the containment join. A keyword uses the longest one that fits it.
 GRAMS = (12, 6, 3, 2, 1)
 SALTS = 16
-BROADCAST_KEYWORDS = 200_000  # keywords of one gram length that may be broadcast, by count; one short row each
+BROADCAST_BYTES = 16 * 1024 * 1024  # text of the keywords of one gram length that may be broadcast, as measured
 
 
 def _grams(text: Column, q: int) -> Column:
@@ -92,7 +92,7 @@ def _tier_pairs(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
     )
     chosen = stage(chosen, "chosen")
     link_grams = links.select("_link", F.explode(_grams(F.col("_link"), q)).alias("_gram"))
-    if chosen.count() <= BROADCAST_KEYWORDS:
+    if chosen.agg(F.sum(F.octet_length("_keyword") + F.octet_length("_word"))).first()[0] <= BROADCAST_BYTES:
         found = link_grams.join(F.broadcast(chosen), "_gram")
     else:
         # A merge join: the planner does not see how much the links grow when cut, and must not broadcast them.
@@ -111,8 +111,8 @@ def keyword_links(
     holds a keyword holds each of its grams, so the join runs on one gram per keyword and a containment
     test confirms. The gram is the one that fewest keywords share: then a gram of a link leads to few
     keywords, and the candidates stay in proportion to the links' characters. Grams that crowd the links
-    are spread by salt, for which each keyword, one row, is repeated. Keywords that are few by count are
-    broadcast instead, and then no link is shuffled.
+    are spread by salt, for which each keyword, one row, is repeated. Keywords that measure
+    small are broadcast instead, and then no link is shuffled.
     """
     words = keywords.select(
         F.col(keyword).alias("_keyword"), F.replace(F.col(keyword), F.lit(" "), F.lit("_")).alias("_word")

@@ -17,14 +17,18 @@ def search_documents(linked: DataFrame, doc: str = "doc") -> DataFrame:
     return rows.select(F.sha2(text, 256).alias(doc), *fixed.SEARCH_FIELDS)
 
 
+INDEX_SPREAD = 16
+
+
 def write_index(documents: DataFrame, path: str, doc: str = "doc", fields=fixed.SEARCH_FIELDS) -> None:
-    """Postings as Parquet in term order, so that a search reads few row groups.
+    """Postings as Parquet, sorted by term inside each file, so that a search reads few row groups.
 
-    Range partitions keep neighbouring terms together; a term that fills more than its share is spread
-    over several partitions by the document in the sort key.
+    One shuffle brings a term together in at most ``INDEX_SPREAD`` partitions: few to search, and enough
+    that a term of very many documents does not end up in one task.
     """
     posts = s.postings(documents, doc, fields)
-    posts.repartitionByRange("term", "field", "doc").sortWithinPartitions("term", "field", "doc").write.parquet(path)
+    part = posts.repartition(F.col("term"), F.pmod(F.hash("doc"), F.lit(INDEX_SPREAD)))
+    part.sortWithinPartitions("term", "field", "doc").write.parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -67,9 +67,9 @@ def test_link_is_the_left_outer_join(spark, seed):
 KEYWORDS = ["Star Trek", "é_ü", "a", "_", "", "abc", "Ann Lee", "https://en.w.org/wiki/Star_Trek", "trek", "aaaaaaaaaaaa", "x" * 40]
 
 
-@pytest.mark.parametrize("broadcast", [200_000, 0])
+@pytest.mark.parametrize("broadcast", [2**24, 0])
 def test_keyword_links_are_all_containments(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(linking, "BROADCAST_KEYWORDS", broadcast)
+    monkeypatch.setattr(linking, "BROADCAST_BYTES", broadcast)
     rnd = random.Random(7)
     links = ["https://en.w.org/wiki/Star_Trek" + str(i % 5) for i in range(30)]  # a crowd under every gram
     links += ["".join(rnd.choice("aab_éü") for _ in range(rnd.randint(0, 30))) for _ in range(60)] + [None, "", "x" * 41]
