@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows cost much more work than their bytes tell, so small shuffles keep all cores busy.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filmweave.functions import fixed, infobox, text
+from filmweave.functions.sql import register_functions
 from filmweave.operators.filters import film_pages
 from filmweave.plans.linkage import extract_infobox
 
@@ -82,3 +83,23 @@ CHECKS.column(
     lambda: text.strip_blank_lines(F.col("txt")),
     f"array_to_string(list_filter(list_transform({_lines}, lambda x: rtrim(x, '{fixed.WS_CHARS}')), lambda x: x <> ''), chr(10))",
 )
+
+
+def _registered(spark, sf_dir):
+    """The same fields through the SQL functions."""
+    register_functions(spark)
+    return inputs.load(
+        spark,
+        sf_dir,
+        f"""SELECT k, s, clean_title(title) AS title_wiki, array_join(infobox_directors(txt), '|') AS director_wiki,
+  array_join(infobox_music(txt), '|') AS music, infobox_release_year(txt) AS release,
+  lists_overlap(infobox_directors(txt), infobox_music(txt)) AS overlap FROM ({inputs.WIKI_PAGES}) w""",
+    )
+
+
+CHECKS.add(
+    "sql_functions",
+    _registered,
+    f"""SELECT k, s, title_wiki, {joined("d")} AS director_wiki, {joined("m")} AS music, release, list_has_any(d, m) AS overlap
+FROM (SELECT k, s, {TITLE} AS title_wiki, {DIRECTORS} AS d, {MUSIC} AS m, {YEAR} AS release FROM ({inputs.WIKI_PAGES}) w) x""",
+)
