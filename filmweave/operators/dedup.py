@@ -40,11 +40,11 @@ def new_keys(existing: DataFrame, new: DataFrame, key: str = "url", ordinal: str
     """Rows of ``new`` with an unseen key, one per key.
 
     With a store that is unique by key, appending these is the whole merge: of the store only the key
-    column is read and nothing is rewritten.
+    column is read and nothing is rewritten. The store's keys are first cut down to those of ``new``; that
+    takes no shuffle of the store while the new keys prove small enough to broadcast.
     """
-    return first_per_key(new, [key], F.col(ordinal)).join(existing.select(key), key, "left_anti").select(
-        *new.columns
-    )
+    seen = existing.select(key).join(new.select(key).distinct(), key, "left_semi")
+    return first_per_key(new, [key], F.col(ordinal)).join(seen, key, "left_anti").select(*new.columns)
 
 
 def merge_by_key(

@@ -14,16 +14,19 @@ from .skew import repeat_hot, spread_hot
 HUB_DEGREE = 1_000_000  # out-links from which a page counts as a hub
 
 
-def link_edges(pages_df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def link_edges(
+    pages_df: DataFrame, url: str = "url", html: str = "html", unique_urls: bool = True
+) -> DataFrame:
     """Edges ``(src_url, dst_url)`` from the absolute and site-relative links of stored pages.
 
-    Distinct, and without links that a walk would not follow. A page's repeated links go within its row,
-    before the shuffle.
+    Each once, and without links that a walk would not follow. A page's repeated links go within its row;
+    as a page store is unique by url, no shuffle is needed.
     """
     page = F.col(html)
     links = F.array_distinct(F.concat(pages.absolute_links(page), pages.relative_links(page)))
     edges = pages_df.select(F.col(url).alias("src_url"), F.explode(links).alias("dst_url"))
-    return edges.filter(~pages.has_prefix(F.col("dst_url"))).distinct()
+    edges = edges.filter(~pages.has_prefix(F.col("dst_url")))
+    return edges if unique_urls else edges.distinct()
 
 
 def reach(

@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 from ..functions import pages
 from ..functions.text import clean_text, split_directors, strip
-from ..operators.dedup import first_per_director
+from ..operators.dedup import first_per_director, new_keys
 from ..operators.filters import not_yet_parsed
 
 
+def pages_to_store(
+    fetched: DataFrame, stored: DataFrame, catalogue: DataFrame, ordinal: str = "ordinal"
+) -> DataFrame:
+    """Fetched pages to append to the store: url in neither store nor catalogue, the first page per url."""
+    return not_yet_parsed(new_keys(stored, fetched, "url", ordinal), catalogue).select(*fetched.columns)
+
+
 def title_rows(stored: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """``(ordinal, url, title, director, cast)`` of the title pages among ``stored``.
 

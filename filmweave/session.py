@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Rows cost much more work than their bytes tell, so small shuffles keep all cores busy.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # The JVM does not compile longer methods; Spark then falls back to smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import list_text
 from ..operators.quality import null_fill
+from ..session import stage
 
 
 def csv_form(df: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def write_search_input(
     df: DataFrame, filled_path: str, distinct_path: str, form: str = "csv", mode: str = "errorifexists"
 ) -> None:
     """Two tables: missing values filled, and the same without repeated rows."""
-    filled = null_fill(csv_form(df))
+    filled = stage(null_fill(csv_form(df)), "filled")
     for table, path in ((filled, filled_path), (filled.distinct(), distinct_path)):
         if form == "csv":
             write_csv(table, path, mode)

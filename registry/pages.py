@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from filmweave.functions import details, fixed, pages
 from filmweave.operators import budget, dedup, filters, quality
 from filmweave.operators.linking import enrich
-from filmweave.plans.catalogue import cleaned_catalogue, new_catalogue_rows, title_rows
+from filmweave.plans.catalogue import cleaned_catalogue, new_catalogue_rows, pages_to_store, title_rows
 from filmweave.plans.linkage import detail_records
 
 from . import inputs
@@ -261,6 +261,20 @@ def _append(spark, sf_dir):
 CHECKS.queries["merge_by_key_append"] = _append
 CHECKS.oracles["merge_by_key_append"] = CHECKS.oracles["merge_by_key"]
 
+
+
+def _to_store(spark, sf_dir):
+    fetched, old = inputs.load(spark, sf_dir, KEYED), inputs.load(spark, sf_dir, OLD_ROWS)
+    return pages_to_store(fetched, old, inputs.load(spark, sf_dir, f"SELECT url FROM ({NEW_ROWS}) n"))
+
+
+CHECKS.add(
+    "pages_to_store",
+    _to_store,
+    f"""SELECT * FROM ({KEYED}) a WHERE url NOT IN (SELECT url FROM ({OLD_ROWS}) o)
+  AND url NOT IN (SELECT url FROM ({NEW_ROWS}) n) QUALIFY row_number() OVER (PARTITION BY url ORDER BY ordinal) = 1""",
+)
+
 CHECKS.queries["distinct_url"] = lambda spark, sf_dir: dedup.distinct_url(inputs.load(spark, sf_dir, KEYED), "ordinal")
 CHECKS.oracles["distinct_url"] = f"SELECT * FROM ({KEYED}) a QUALIFY row_number() OVER (PARTITION BY url ORDER BY ordinal) = 1"
 
