@@ -27,7 +27,7 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _value(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
+        return "nan" if math.isnan(v) else v
     return v
 
 
@@ -37,14 +37,22 @@ def _sorted(columns, rows):
     return sorted(columns), sorted(table, key=lambda r: tuple((v is None, str(type(v)), str(v)) for v in r))
 
 
+KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def difference(spark, db, sf_dir, run, sql) -> str | None:
     """None when both give the same columns and rows, else a short description."""
     df = run(spark, sf_dir)
     mine = _sorted(df.columns, [tuple(r) for r in df.collect()])
     found = db.execute(sql)
-    theirs = _sorted([d[0] for d in found.description], found.fetchall())
+    found_types = list(found.description)
+    theirs = _sorted([d[0] for d in found_types], found.fetchall())
     if mine[0] != theirs[0]:
         return f"columns {mine[0]} / {theirs[0]}"
+    kinds = {d[0]: str(d[1]) for d in found_types}
+    other_kinds = {c: (t, kinds[c]) for c, t in df.dtypes if KINDS.get(t, t) != kinds[c]}
+    if other_kinds:
+        return f"types {other_kinds}"
     if not mine[1]:
         return "no rows"
     if mine[1] != theirs[1]:
