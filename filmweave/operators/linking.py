@@ -62,10 +62,11 @@ def link_catalogue(catalogue: DataFrame, wiki: DataFrame) -> DataFrame:
     return pairs.unionByName(rest, allowMissingColumns=True)
 
 
-def film_keywords(catalogue: DataFrame, always: str = fixed.ALWAYS_KEYWORD) -> DataFrame:
-    """Keywords per film: a fixed one, and each director unless unknown."""
+def film_keywords(catalogue: DataFrame, always: str | None = fixed.ALWAYS_KEYWORD) -> DataFrame:
+    """Keywords per film: a fixed one, if any, and each director unless unknown."""
+    first = F.array(*[F.lit(always)] if always else []).cast("array<string>")
     known = F.coalesce(F.array_remove("director_list", fixed.UNKNOWN), F.array().cast("array<string>"))
-    words = F.array_union(F.array(F.lit(always)), known)
+    words = F.array_union(first, known)
     return catalogue.select("title", "director_list", F.explode(words).alias("keyword"))
 
 
@@ -144,14 +145,14 @@ def match_keywords_to_links(
     return links.join(matched, link, "left_semi").select(*links.columns)
 
 
-def enrich(catalogue: DataFrame, details: DataFrame, key: str = "title") -> DataFrame:
+def enrich(catalogue: DataFrame, details: DataFrame, key: str | list[str] = "title") -> DataFrame:
     """Set release, writer and music where the detail record has them; directors only where unknown.
 
     ``details`` holds one record per key. ``director_list`` may be replaced, the other three are added or
     overwritten.
     """
     found = details.select(
-        key,
+        *([key] if isinstance(key, str) else key),
         F.col("release_date").alias("_release"),
         F.col("writers").alias("_writers"),
         F.col("composer").alias("_music"),

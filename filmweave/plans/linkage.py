@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import details, infobox
+from ..functions.pages import dump_links
 from ..operators.filters import film_pages
-from ..operators.linking import link_catalogue
+from ..operators.linking import enrich, film_keywords, keyword_links, link_catalogue
+from ..session import stage
 
 
 def extract_infobox(films: DataFrame, text: str = "revision.text._VALUE") -> DataFrame:
@@ -36,3 +38,24 @@ def detail_records(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
         details.detail_composer(page).alias("composer"),
         details.detail_directors(page).alias("directors"),
     )
+
+
+def enrich_from_links(
+    catalogue: DataFrame, lines: DataFrame, pages: DataFrame, text: str = "text", url: str = "url"
+) -> DataFrame:
+    """Catalogue enriched from the stored page behind the first dump link that names a film's director.
+
+    The dump's links are mined once for all films. Only links with a stored page count; the fixed keyword
+    is left out, since it would lead every film to the same links. The first link per film is an aggregate
+    over short rows; pages are joined after it.
+    """
+    links = lines.select(F.explode(dump_links(F.col(text))).alias("link"))
+    stored = links.join(pages.select(F.col(url).alias("link")), "link", "left_semi")
+    words = film_keywords(catalogue, always=None)
+    pairs = keyword_links(words.select("keyword"), stored)
+    film = ["title", "director_list"]
+    first = words.join(pairs, "keyword").groupBy(*film).agg(F.min("link").alias("_link"))
+    first = stage(first, "first-links")  # two readers
+    records = detail_records(pages.join(first.select("_link").distinct(), F.col(url) == F.col("_link"), "left_semi"), url)
+    found = first.join(records.withColumnRenamed(url, "_link"), "_link").drop("_link")
+    return enrich(catalogue, found, film)

@@ -8,7 +8,7 @@ from filmweave.functions import details, fixed, pages
 from filmweave.operators import budget, dedup, filters, quality
 from filmweave.operators.linking import enrich
 from filmweave.plans.catalogue import cleaned_catalogue, new_catalogue_rows, pages_to_store, title_rows
-from filmweave.plans.linkage import detail_records
+from filmweave.plans.linkage import detail_records, enrich_from_links
 
 from . import inputs
 from .checks import Checks
@@ -235,6 +235,33 @@ CHECKS.oracles["enrich"] = f"""WITH c AS (SELECT k, title, string_split(director
 SELECT c.k, c.title, {joined("CASE WHEN list_contains(c.director_list, 'more') AND d.directors IS NOT NULL THEN d.directors ELSE c.director_list END")}
   AS director_list, d.release, {joined("d.writer")} AS writer, d.music FROM c LEFT JOIN d ON c.k = d.k"""
 
+# Films whose director is named in the urls of the detail pages, which the dump's text links to.
+FILMS = "SELECT concat('F', CAST(p_partkey AS STRING)) AS title, concat(p_name, ' ', p_brand) AS director FROM part"
+LINKED_PAGES = f"""SELECT concat('https://en.example.org/wiki/', replace(p_name, ' ', '_'), '_', brand, '_', CAST(k AS STRING))
+    AS url, html FROM (SELECT d.*, q.p_brand AS brand FROM ({inputs.DETAIL_PAGES}) d JOIN part q ON q.p_partkey = d.k) x"""
+
+
+def _from_links(spark, sf_dir):
+    films = inputs.load(spark, sf_dir, FILMS).select("title", F.array("director").alias("director_list"))
+    store = inputs.load(spark, sf_dir, LINKED_PAGES)
+    lines = store.select(F.concat(F.lit("see "), "url", F.lit(", and https://en.example.org/none_"), "url").alias("text"))
+    rows = enrich_from_links(films, lines, store)
+    return rows.select(
+        "title", F.array_join("director_list", "|").alias("director_list"), "release",
+        F.array_join(F.array_sort("writer"), "|").alias("writer"), "music",
+    )
+
+
+CHECKS.add(
+    "enrich_from_links",
+    _from_links,
+    f"""WITH f AS ({FILMS}), p AS ({LINKED_PAGES}),
+  b AS (SELECT title, min(url) AS url FROM f JOIN p ON contains(url, replace(director, ' ', '_')) GROUP BY title),
+  d AS (SELECT url, {RELEASE} AS release, {WRITERS} AS writer, {COMPOSER} AS music FROM p)
+SELECT f.title, f.director AS director_list, d.release, {joined("d.writer")} AS writer, d.music
+FROM f LEFT JOIN b ON f.title = b.title LEFT JOIN d ON d.url = b.url""",
+)
+
 # -- store: merge, union, sizes --------------------------------------------------------------------------
 # Pages keyed by url without its query part and scheme, so that keys repeat.
 KEYED = "SELECT page_id AS ordinal, split_part(split_part(url, '?', 1), '/', 3) AS url, html FROM pages"
