@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +23,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_local_roots: dict[str, str] = {}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`SETTINGS` to a session."""
@@ -35,19 +32,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
-
-    Only a local session may go without; it gets a temporary folder.
-    """
+    """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``, else one in its warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="filmweave-")
-    return _local_roots[context.applicationId]
+    return shared.rstrip("/") if shared else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

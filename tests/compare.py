@@ -87,6 +87,8 @@ def main() -> None:
     for name, run in entry.queries().items():
         if sys.argv[2:] and name not in sys.argv[2:]:
             continue
+        if name not in sql:
+            continue
         start = time.time()
         try:
             found = difference(spark, db, sf_dir, run, sql[name])
