@@ -3,8 +3,8 @@
 Writer: one record for each page. Of pages with equal payloads that with the smallest id becomes a ``response``, an
 HTTP answer in chunked transfer framing; the others become ``revisit`` records that name it. A block longer than
 ``SEGMENT_BYTES`` is cut: the first part goes into the record itself, each further part into a ``continuation`` record
-that names its origin and its number; the last one states the total length. Archives are plain WARC 1.1 files of at
-most ``FILE_RECORDS`` records, so no file and no record is larger than a fixed size.
+that names its origin and its number; the last one states the total length. Archives are gzipped WARC 1.1 files of
+at most ``FILE_RECORDS`` records, so no file and no record is larger than a fixed size.
 
 Reader: files are read by Spark as binary rows, a record each is cut out by its stated length (gzip members are
 unpacked first). Continuations are grouped by origin, ordered by segment number, checked to be gapless and of the total
@@ -133,7 +133,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
         F.when(revisit, record_name(F.col("first_id"), F.col("first_row"))),
     )
     lines = rows.select(F.explode(made).alias("record")).select(F.col("record").cast("string").alias("value"))  # bytes as they are
-    lines.write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    out = lines.write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS)
+    out.option("compression", "gzip").text(path)
 
 
 def members(content: bytes) -> bytes:
