@@ -82,19 +82,22 @@ def first_per_director(
         firsts = first_per_key(fresh, [director], F.col(ordinal))
         return firsts.join(existing.select(director).distinct(), director, "left_anti").select(*new.columns)
 
+    # Missing urls, directors and ordinals are values like others; a row without ordinal comes first.
+    rank = F.struct(F.col(ordinal).isNotNull().alias("known"), F.col(ordinal).alias("at"), F.col("_tie"))
     rows = fresh.join(existing.select(director).distinct(), director, "left_anti").select(*new.columns)
-    rows = stage(rows, "candidates")
+    rows = stage(rows.withColumn("_tie", F.monotonically_increasing_id()).withColumn("_rank", rank), "candidates")
     kept = []
     while not rows.isEmpty():
-        turn = F.col(ordinal)
-        by_url = rows.groupBy(url).agg(F.min(turn).alias(ordinal))
-        by_director = rows.groupBy(director).agg(F.min(turn).alias(ordinal))
-        won = rows.join(by_url, [url, ordinal], "left_semi").join(by_director, [director, ordinal], "left_semi")
-        won = stage(won.select(*new.columns), "kept")
+        best = rows
+        for key in (url, director):
+            least = rows.groupBy(F.col(key).alias("_key")).agg(F.min("_rank").alias("_least"))
+            best = best.join(least, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_rank") == F.col("_least")), "left_semi")
+        won = stage(best, "kept")
         kept.append(won)
-        rows = rows.join(won.select(url), url, "left_anti").join(won.select(director), director, "left_anti")
-        rows = stage(rows.select(*new.columns), "candidates")
+        for key in (url, director):
+            rows = rows.join(won.select(F.col(key).alias("_key")).distinct(), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        rows = stage(rows, "candidates")
     result = rows
     for part in kept:
         result = result.unionByName(part)
-    return result
+    return result.select(*new.columns)

@@ -40,7 +40,9 @@ def matching_pairs(catalogue: DataFrame, wiki: DataFrame) -> DataFrame:
     right = wiki.withColumn(
         "_right", F.explode(F.concat(F.array(any_key), _director_keys(F.col("director_wiki"))))
     )
-    first_shared = F.concat(F.lit("="), F.get(F.array_intersect("director_list", "director_wiki"), F.lit(0)))
+    # A missing name is no name: it matches nothing and doesn't hide the names behind it.
+    shared = F.array_intersect(F.array_compact("director_list"), F.array_compact("director_wiki"))
+    first_shared = F.concat(F.lit("="), F.get(shared, F.lit(0)))
     pairs = left.join(
         right,
         (F.col("title") == F.col("title_wiki"))

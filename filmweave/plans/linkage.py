@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import details, infobox
@@ -43,19 +43,25 @@ def detail_records(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
 def enrich_from_links(
     catalogue: DataFrame, lines: DataFrame, pages: DataFrame, text: str = "text", url: str = "url"
 ) -> DataFrame:
-    """Catalogue enriched from the stored page behind the first dump link that names a film's director.
+    """Catalogue enriched from the stored pages behind the dump links that name a film's director.
 
     The dump's links are mined once for all films. Only links with a stored page count; the fixed keyword
-    is left out, since it would lead every film to the same links. The first link per film is an aggregate
-    over short rows; pages are joined after it.
+    is left out, since it would lead every film to the same links. All links of a film count: each field
+    comes from the first page, in link order, that has it. Pages are brought down to one row per keyword
+    before films are joined, so films and links are never paired.
     """
     links = lines.select(F.explode(dump_links(F.col(text))).alias("link"))
     stored = links.join(pages.select(F.col(url).alias("link")), "link", "left_semi")
     words = film_keywords(catalogue, always=None)
-    pairs = keyword_links(words.select("keyword"), stored)
+    pairs = stage(keyword_links(words.select("keyword"), stored).distinct(), "keyword-links")  # two readers
+    named = pages.join(pairs.select(F.col("link").alias(url)).distinct(), url, "left_semi")
+    records = detail_records(named, url).withColumnRenamed(url, "link")
+    fields = [c for c in records.columns if c != "link"]
+
+    def first(name: str, found: Column) -> Column:
+        return F.min(F.when(found.isNotNull(), F.struct(F.col("link"), F.col(name)))).alias(name)
+
+    by_keyword = pairs.join(records, "link").groupBy("keyword").agg(*[first(c, F.col(c)) for c in fields])
     film = ["title", "director_list"]
-    first = words.join(pairs, "keyword").groupBy(*film).agg(F.min("link").alias("_link"))
-    first = stage(first, "first-links")  # two readers
-    records = detail_records(pages.join(first.select("_link").distinct(), F.col(url) == F.col("_link"), "left_semi"), url)
-    found = first.join(records.withColumnRenamed(url, "_link"), "_link").drop("_link")
-    return enrich(catalogue, found, film)
+    by_film = words.join(by_keyword, "keyword").groupBy(*film).agg(*[F.min(c).alias(c) for c in fields])
+    return enrich(catalogue, by_film.select(*film, *[F.col(c)[c].alias(c) for c in fields]), film)

@@ -94,7 +94,7 @@ SELECT page_id AS ordinal,
   CASE page_id % 6 WHEN 0 THEN url WHEN 1 THEN concat('{fixed.TITLE_PREFIX}tt', CAST(page_id AS STRING), '/reviews')
        ELSE concat('{fixed.TITLE_PREFIX}tt', CAST(page_id AS STRING), '/') END AS url,
   concat('<html><head><title>', CASE page_id % 8 WHEN 0 THEN 'Untitled' ELSE
-           concat(' ', substring(url, 8, 30), ' (',
+           concat(' ', url, ' (',
                   CASE WHEN page_id % 5 = 3 THEN 'TV Series ' ELSE '' END, CAST(1950 + page_id % 70 AS STRING), ')') END,
          ' - IMDb</title><meta name="description" content="',
          CASE page_id % 5 WHEN 0 THEN 'A page'
@@ -140,7 +140,7 @@ SELECT g.page_id AS k, g.url, p.p_name, concat('<html><body><H1 id="x"> ', upper
 FROM pages g JOIN part p ON p.p_partkey = g.page_id
 """
 
-HEADING_KEYWORDS = "SELECT DISTINCT concat(p_name, ' ', p_brand) AS keyword FROM part WHERE p_type = 'LARGE'"
+HEADING_KEYWORDS = "SELECT DISTINCT concat(p_name, ' ', p_brand) AS keyword FROM part"
 
 # The links of the stored pages, made to point to the site in three ways.
 SITE_PAGES = f"""
@@ -160,7 +160,7 @@ FROM pages
 
 DUMP_TEXTS = """
 SELECT page_id AS k, concat('See https://en.example.org/wiki/P_', CAST(page_id AS STRING), ', then https://en.w.org/a:b ',
-  url, ' and', chr(160), 'https://english.example.net/', lower(substring(url, 8, 12)), chr(10), html, ' https://en') AS txt
+  url, ' and', chr(160), 'https://english.example.net/', lower(replace(url, ':', '')), chr(10), html, ' https://en') AS txt
 FROM pages
 """
 
@@ -170,8 +170,8 @@ SELECT DISTINCT concat('https://en.example.org/wiki/', replace(p.p_name, ' ', '_
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN supplier s ON s.s_suppkey = l.l_suppkey
 """
 KEYWORDS = """
-SELECT DISTINCT concat(p_name, ' ', p_brand) AS keyword FROM part WHERE p_type = 'LARGE'
-UNION SELECT s_name AS keyword FROM supplier WHERE s_acctbal < 0
+SELECT DISTINCT concat(p_name, ' ', p_brand) AS keyword FROM part
+UNION SELECT concat(s_name, CASE s_suppkey % 3 WHEN 0 THEN '' ELSE ' x' END) AS keyword FROM supplier
 UNION SELECT c_name AS keyword FROM customer
 UNION SELECT concat(lower(c_mktsegment), ' ') AS keyword FROM customer
 """

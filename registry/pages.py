@@ -256,17 +256,21 @@ CHECKS.add(
     "enrich_from_links",
     _from_links,
     f"""WITH f AS ({FILMS}), p AS ({LINKED_PAGES}),
-  b AS (SELECT title, min(url) AS url FROM f JOIN p ON contains(url, replace(director, ' ', '_')) GROUP BY title),
-  d AS (SELECT url, {RELEASE} AS release, {WRITERS} AS writer, {COMPOSER} AS music FROM p)
-SELECT f.title, f.director AS director_list, d.release, {joined("d.writer")} AS writer, d.music
-FROM f LEFT JOIN b ON f.title = b.title LEFT JOIN d ON d.url = b.url""",
+  d AS (SELECT url, {RELEASE} AS release, {WRITERS} AS writer, {COMPOSER} AS music FROM p),
+  m AS (SELECT f.title, d.* FROM f JOIN d ON contains(url, replace(director, ' ', '_'))),
+  r AS (SELECT title, arg_min(release, url) AS release FROM m WHERE release IS NOT NULL GROUP BY title),
+  w AS (SELECT title, arg_min(writer, url) AS writer FROM m WHERE writer IS NOT NULL GROUP BY title),
+  c AS (SELECT title, arg_min(music, url) AS music FROM m WHERE music IS NOT NULL GROUP BY title)
+SELECT f.title, f.director AS director_list, r.release, {joined("w.writer")} AS writer, c.music
+FROM f LEFT JOIN r ON f.title = r.title LEFT JOIN w ON f.title = w.title LEFT JOIN c ON f.title = c.title""",
 )
 
 # -- store: merge, union, sizes --------------------------------------------------------------------------
 # Pages keyed by url without its query part and scheme, so that keys repeat.
 KEYED = "SELECT page_id AS ordinal, split_part(split_part(url, '?', 1), '/', 3) AS url, html FROM pages"
 OLD_ROWS = f"SELECT * FROM ({KEYED}) a WHERE contains(html, 'lang=\"en\"')"
-NEW_ROWS = f"SELECT * FROM ({KEYED}) a WHERE contains(url, 'blog')"
+NEW_ROWS = f"SELECT * FROM ({KEYED}) a WHERE contains(url, 'blog') OR NOT contains(html, 'lang=\"en\"')"
+PARSED = f"SELECT url FROM ({KEYED}) a WHERE contains(url, 'blog')"
 
 
 def _merge(spark, sf_dir):
@@ -292,14 +296,14 @@ CHECKS.oracles["merge_by_key_append"] = CHECKS.oracles["merge_by_key"]
 
 def _to_store(spark, sf_dir):
     fetched, old = inputs.load(spark, sf_dir, KEYED), inputs.load(spark, sf_dir, OLD_ROWS)
-    return pages_to_store(fetched, old, inputs.load(spark, sf_dir, f"SELECT url FROM ({NEW_ROWS}) n"))
+    return pages_to_store(fetched, old, inputs.load(spark, sf_dir, PARSED))
 
 
 CHECKS.add(
     "pages_to_store",
     _to_store,
     f"""SELECT * FROM ({KEYED}) a WHERE url NOT IN (SELECT url FROM ({OLD_ROWS}) o)
-  AND url NOT IN (SELECT url FROM ({NEW_ROWS}) n) QUALIFY row_number() OVER (PARTITION BY url ORDER BY ordinal) = 1""",
+  AND url NOT IN (SELECT url FROM ({PARSED}) n) QUALIFY row_number() OVER (PARTITION BY url ORDER BY ordinal) = 1""",
 )
 
 CHECKS.queries["distinct_url"] = lambda spark, sf_dir: dedup.distinct_url(inputs.load(spark, sf_dir, KEYED), "ordinal")
