@@ -175,17 +175,23 @@ def fit_machine(words: list[str], signs: np.ndarray, importance: np.ndarray, lan
 
 
 def calibrate(worst: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float, float]:
-    """Logistic fit of the three worst margins, both kinds weighing alike."""
+    """Logistic fit of the three worst margins, both kinds weighing alike. A worse word never makes a text milder."""
     x = np.hstack([worst, np.ones((len(worst), 1))])
     share = max(toxic.mean(), 1e-9)
     weight = np.where(toxic, 0.5 / share, 0.5 / max(1 - share, 1e-9))
-    theta = np.zeros(4)
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-(x @ theta).clip(-30, 30)))
-        g = x.T @ (weight * (p - toxic)) / len(x) + 1e-3 * theta
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x / len(x) + 1e-3 * np.eye(4)
-        theta = theta - np.linalg.solve(h, g)
-    return tuple(map(float, theta))
+    used = np.arange(4)
+    while True:
+        own, theta = x[:, used], np.zeros(len(used))
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-(own @ theta).clip(-30, 30)))
+            g = own.T @ (weight * (p - toxic)) / len(x) + 1e-3 * theta
+            h = (own * (weight * p * (1 - p))[:, None]).T @ own / len(x) + 1e-3 * np.eye(len(used))
+            theta = theta - np.linalg.solve(h, g)
+        if (theta[:-1] >= 0).all():
+            full = np.zeros(4)
+            full[used] = theta
+            return tuple(map(float, full))
+        used = np.append(used[:-1][theta[:-1] >= 0], 3)
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int) -> DataFrame:
