@@ -67,10 +67,11 @@ def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable
     leaves = counts.groupBy("leaf").agg(F.sum("n").alias("documents")).where(F.col("documents") >= least)
     likely = stage(counts.join(stage(leaves.select("leaf"), "leaves"), "leaf", "left_semi"), "likely-lines")
 
-    # The tokens of the lines that are left, once for each line.
-    whole = documents.select(F.explode(F.transform(_lines(text), tokens)).alias("tokens")).where(F.size("tokens") > 0)
-    whole = whole.select(leaf_id(F.col("tokens")).alias("leaf"), line_id(F.col("tokens")).alias("line"), "tokens")
-    whole = whole.join(likely.select("leaf", "line"), ["leaf", "line"], "left_semi").dropDuplicates(["leaf", "line"])
+    # The lines that are left, once each; texts are shuffled as they are, tokens made behind.
+    whole = documents.select(F.explode(_lines(text)).alias("body")).withColumn("tokens", tokens(F.col("body")))
+    whole = whole.where(F.size("tokens") > 0).select(leaf_id(F.col("tokens")).alias("leaf"), line_id(F.col("tokens")).alias("line"), "body")
+    whole = whole.join(likely.select("leaf", "line").hint("merge"), ["leaf", "line"], "left_semi")
+    whole = whole.groupBy("leaf", "line").agg(F.min("body").alias("body")).withColumn("tokens", tokens(F.col("body")))
     places = whole.join(likely, ["leaf", "line"]).select("leaf", "line", "n", F.posexplode("tokens").alias("place", "token"))
     places = stage(places, "places")
     fixed = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("documents")).where(F.col("documents") >= least)
@@ -94,7 +95,7 @@ def drop_recurring(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable:
     gone = rows.join(dropped, ["leaf", "line"]).groupBy("doc_id", "body").agg(F.collect_set("line").alias("_gone"))
     gone = stage(gone.withColumnRenamed("doc_id", "_id").withColumnRenamed("body", "_body"), "dropped-lines")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
-    joined = documents.join(gone, same, "left")
+    joined = documents.join(gone.hint("merge"), same, "left")
     lines = _lines(F.col("text"))
     left = F.filter(lines, lambda line: ~F.array_contains("_gone", line_id(tokens(line))))
     columns = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
