@@ -31,8 +31,9 @@ WILDCARD = "<*>"
 
 def tokens(line: Column) -> Column:
     """Tokens between whitespace, those with a digit as the wildcard."""
-    found = F.filter(F.split(line, r"\s+"), lambda t: t != "")
-    return F.transform(found, lambda t: F.when(t.rlike(r"\d"), F.lit(WILDCARD)).otherwise(t))
+    found = F.array_remove(F.split(line, r"\s+"), "")
+    wild = F.transform(found, lambda t: F.when(t.rlike(r"\d"), F.lit(WILDCARD)).otherwise(t))
+    return F.when(line.rlike(r"\d"), wild).otherwise(found)  # most lines have no digit: one look instead of one per token
 
 
 def line_id(found: Column) -> Column:
@@ -68,8 +69,8 @@ def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable
     likely = stage(counts.join(stage(leaves.select("leaf"), "leaves"), "leaf", "left_semi"), "likely-lines")
 
     # The lines that are left, once each; texts are shuffled as they are, tokens made behind.
-    whole = documents.select(F.explode(_lines(text)).alias("body")).withColumn("tokens", tokens(F.col("body")))
-    whole = whole.where(F.size("tokens") > 0).select(leaf_id(F.col("tokens")).alias("leaf"), line_id(F.col("tokens")).alias("line"), "body")
+    whole = documents.select(F.explode(_lines(text)).alias("body")).where(F.col("body").rlike(r"\S"))
+    whole = whole.withColumn("tokens", tokens(F.col("body"))).select(leaf_id(F.col("tokens")).alias("leaf"), line_id(F.col("tokens")).alias("line"), "body")
     whole = whole.join(likely.select("leaf", "line").hint("merge"), ["leaf", "line"], "left_semi")
     whole = whole.groupBy("leaf", "line").agg(F.min("body").alias("body")).withColumn("tokens", tokens(F.col("body")))
     places = whole.join(likely, ["leaf", "line"]).select("leaf", "line", "n", F.posexplode("tokens").alias("place", "token"))
