@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .text import all_matches, first_match, strip
+from .text import all_matches, bind, first_match, strip
 
 
 def literal_pattern(text: str) -> str:
@@ -60,7 +60,7 @@ def page_cast(html: Column, drop_last: bool = True) -> Column:
     names = all_matches(F.regexp_extract(html, fixed.CAST_TAIL, 1), fixed.CAST_NAME, 1)
     if not drop_last:
         return names
-    return F.slice(names, F.lit(1), F.greatest(F.size(names) - 1, F.lit(0)))
+    return bind(names, lambda n: F.slice(n, F.lit(1), F.greatest(F.size(n) - 1, F.lit(0))))
 
 
 def absolute_links(html: Column, host: str = fixed.SITE_HOST) -> Column:

@@ -81,7 +81,7 @@ def first_match(c: Column, pattern: str, group: int = 1) -> Column:
     ``regexp_extract`` gives '' both for no match and for an empty group. Here the long text is searched
     once for the whole match (which is never empty), and the group is taken from that short piece.
     """
-    return F.regexp_extract(F.regexp_substr(c, F.lit(pattern)), pattern, group)
+    return bind(F.regexp_extract(c, pattern, 0), lambda m: F.when(m != "", F.regexp_extract(m, pattern, group)))
 
 
 def all_matches(c: Column, pattern: str, group: int = 0) -> Column:

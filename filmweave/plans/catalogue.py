@@ -21,16 +21,18 @@ def pages_to_store(
 def title_rows(stored: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """``(ordinal, url, title, director, cast)`` of the title pages among ``stored``.
 
-    A page without title, or with an empty director text, gives no row.
+    A page without title, or with an empty director text, gives no row. The fields go through an exploded list of
+    one, behind which the test on them stays, so that no pattern is searched twice.
     """
     html = F.col("html")
-    rows = stored.filter(pages.is_title_url(F.col("url"))).select(
-        ordinal,
+    fields = F.struct(
+        F.col(ordinal).alias(ordinal),
         strip(F.col("url")).alias("url"),
         pages.page_title(html).alias("title"),
         pages.page_director(html).alias("director"),
         pages.page_cast(html).alias("cast"),
     )
+    rows = stored.filter(pages.is_title_url(F.col("url"))).select(F.explode(F.array(fields)).alias("_row")).select("_row.*")
     rows = rows.filter(F.col("title").isNotNull() & (F.col("director") != ""))
     return rows.withColumn("director", pages.placeholder_director(F.col("director")))
 

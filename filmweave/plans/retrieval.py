@@ -17,19 +17,29 @@ def search_documents(linked: DataFrame, doc: str = "doc") -> DataFrame:
     return rows.select(F.sha2(text, 256).alias(doc), *fixed.SEARCH_FIELDS)
 
 
-INDEX_SPREAD = 16
-
-
 def write_index(documents: DataFrame, path: str, doc: str = "doc", fields=fixed.SEARCH_FIELDS) -> None:
     """Postings as Parquet, sorted by term inside each file, so that a search reads few row groups.
 
-    One shuffle brings a term together in at most ``INDEX_SPREAD`` partitions: few to search, and enough
-    that a term of very many documents does not end up in one task.
+    One shuffle brings terms together. It is a rebalance, so AQE cuts the partition of a term of very many documents
+    by its measured size, and a rare term lies in one file.
     """
     posts = s.postings(documents, doc, fields)
-    part = posts.repartition(F.col("term"), F.pmod(F.hash("doc"), F.lit(INDEX_SPREAD)))
-    part.sortWithinPartitions("term", "field", "doc").write.parquet(path)
+    posts.hint("rebalance", "term").sortWithinPartitions("term", "field", "doc").write.parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def stored_hits(hits: DataFrame, documents: DataFrame, k: int = fixed.DEFAULT_HITS, doc: str = "doc") -> DataFrame:
+    """Best ``k`` of ``hits`` with their score and the stored fields, best first; only ``k`` rows are broadcast."""
+    best = s.top_hits(hits, k).withColumnRenamed("doc", "_doc")
+    found = documents.join(F.broadcast(best), F.col(doc) == F.col("_doc"))
+    return found.select("score", *documents.columns).orderBy(F.desc("score"), doc)
+
+
+def prefix_hits(posts: DataFrame, documents: DataFrame, prefix: str, fields, doc: str = "doc") -> DataFrame:
+    """Rows of ``documents`` with a term in one of ``fields`` that starts with ``prefix``."""
+    hits = posts.filter(F.col("term").startswith(prefix.lower()) & F.col("field").isin(list(fields)))
+    found = hits.select(F.col("doc").alias(doc)).distinct()
+    return documents.join(found, doc, "left_semi").select(*documents.columns)

@@ -24,7 +24,8 @@ def scan_page_dump(spark: SparkSession, path: str, row_tag: str = "page") -> Dat
     """One row per ``<page>`` of an XML dump.
 
     The file is read as text records that end in the closing tag, which Spark splits among tasks at any
-    size; Spark's own XML source gives a whole file to one task. Each record is then parsed as XML.
+    size; Spark's own XML source gives a whole file to one task. Each record is then parsed as XML. A record that
+    can't be parsed is kept whole in ``corrupt``, which is NULL for all others.
     """
     close = f"</{row_tag}>"
     records = spark.read.option("lineSep", close).text(path)
@@ -36,13 +37,18 @@ def scan_page_dump(spark: SparkSession, path: str, row_tag: str = "page") -> Dat
     )
     page = records.withColumn("_start", start).filter("_start IS NOT NULL")
     xml = F.concat(F.expr("substring(value, _start)"), F.lit(close))
-    options = {"rowTag": row_tag, "ignoreSurroundingSpaces": "false"}
+    options = {"rowTag": row_tag, "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "corrupt"}
+    schema = T.StructType([*PAGE_SCHEMA.fields, T.StructField("corrupt", T.StringType())])
     # The text element carries attributes, which makes its content the field _VALUE.
-    parsed = page.select(F.from_xml(xml, PAGE_SCHEMA.simpleString(), options).alias("_p"))
-    return parsed.select("_p.title", "_p.revision")
+    parsed = page.select(F.from_xml(xml, schema.simpleString(), options).alias("_p"))
+    return parsed.select("_p.title", "_p.revision", "_p.corrupt")
 
 
-def scan_dump_text(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines of a dump without tags; blank lines are left out."""
-    lines = spark.read.text(path).select(page_text(F.col("value")).alias("text"))
+def scan_dump_text(spark: SparkSession, path: str, row_tag: str = "doc") -> DataFrame:
+    """Text lines of a dump without tags; blank lines are left out.
+
+    Records that end in the closing tag are read whole, since tags, comments and scripts may go over several lines.
+    """
+    records = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    lines = records.select(F.explode(F.split(page_text(F.col("value")), r"\r\n?|\n")).alias("text"))
     return lines.filter(strip(F.col("text")) != "")

@@ -137,7 +137,8 @@ SELECT g.page_id AS k, g.url, p.p_name, concat('<html><body><H1 id="x"> ', upper
       WHEN 1 THEN '<tr><th>Music by</th><td><a href="/wiki/M">Mo</a></td></tr><tr><th>Starring</th></tr>'
       ELSE '' END,
     '</table>', g.html) AS html
-FROM pages g JOIN part p ON p.p_partkey = g.page_id
+FROM pages g JOIN (SELECT page_id AS id, coalesce(p_name, 'none') AS p_name, coalesce(p_brand, 'none') AS p_brand
+                   FROM pages LEFT JOIN part ON p_partkey = page_id) p ON p.id = g.page_id
 """
 
 HEADING_KEYWORDS = "SELECT DISTINCT concat(p_name, ' ', p_brand) AS keyword FROM part"

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from filmweave.functions import fixed
 from filmweave.operators import search as s
 from filmweave.operators.quality import null_fill
-from filmweave.session import stage
+from filmweave.plans import retrieval
+from filmweave.session import stage, staging_path
 
 from . import inputs
 from .checks import Checks
@@ -70,6 +71,44 @@ CHECKS.add("search", _search("tion src1"), _TWO_TERMS)
 CHECKS.add("search_ci", _search("TION Src1"), _TWO_TERMS)
 
 
+def _index(spark, sf_dir):
+    """The documents and their index, written and read back."""
+    docs, path = inputs.table(spark, sf_dir, "documents"), staging_path(spark, "index")
+    retrieval.write_index(docs, path, "doc_id", DOC_FIELDS)
+    return docs, retrieval.read_index(spark, path)
+
+
+def _search_index(spark, sf_dir):
+    docs, posts = _index(spark, sf_dir)
+    return _rounded(s.search(posts, "tion src1", docs.count(), DOC_FIELDS))
+
+
+def _search_hits(spark, sf_dir):
+    docs, posts = _index(spark, sf_dir)
+    hits = _rounded(s.search(posts, "tion src1", docs.count(), DOC_FIELDS))
+    return retrieval.stored_hits(hits, docs.select("doc_id", *DOC_FIELDS), doc="doc_id")
+
+
+def _prefix_hits(spark, sf_dir):
+    docs, posts = _index(spark, sf_dir)
+    return retrieval.prefix_hits(posts, docs.select("doc_id", *DOC_FIELDS), "Sr", ("source", "lang"), "doc_id")
+
+
+CHECKS.add("search_index", _search_index, _TWO_TERMS)
+CHECKS.add(
+    "search_hits",
+    _search_hits,
+    f"""SELECT score, doc_id, {', '.join(DOC_FIELDS)} FROM (SELECT * FROM ({_TWO_TERMS}) h ORDER BY score DESC, doc LIMIT 10) b
+JOIN documents ON doc_id = doc""",
+)
+CHECKS.add(
+    "prefix_hits",
+    _prefix_hits,
+    f"""SELECT doc_id, {', '.join(DOC_FIELDS)} FROM documents WHERE doc_id IN
+  (SELECT doc FROM ({DOCUMENT_POSTINGS}) p WHERE starts_with(term, 'sr') AND field IN ('source', 'lang'))""",
+)
+
+
 def _top(spark, sf_dir):
     n_docs = inputs.table(spark, sf_dir, "documents").count()
     return s.top_hits(_rounded(s.search(document_postings(spark, sf_dir), "the tion ered", n_docs, DOC_FIELDS)))

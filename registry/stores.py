@@ -44,7 +44,8 @@ def _dump_text(spark, sf_dir):
     path = staging_path(spark, "abstracts")
     rows = inputs.load(spark, sf_dir, inputs.WIKI_PAGES)
     line = F.concat(
-        F.lit("<doc>\n<title>"), _escaped(F.col("title")), F.lit("</title>\n<url>https://en.example.org/wiki/"),
+        F.lit("<doc>\n<!-- hidden\nhttps://en.example.org/wiki/Hidden\n--><title\n lang='en'>"), _escaped(F.col("title")),
+        F.lit("</title>\n<script>\nvar a = 'https://en.example.org/wiki/Script';\n</script>\n<url>https://en.example.org/wiki/"),
         F.replace(F.col("title"), F.lit(" "), F.lit("_")), F.lit("</url>\n \n</doc>"),
     )
     rows.select(line.alias("value")).write.text(path)

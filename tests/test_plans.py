@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from filmweave.functions import pages
 from filmweave.operators import dedup, filters, linking, search
+from filmweave.plans.catalogue import title_rows
 from filmweave.plans.linkage import extract_infobox
+from filmweave.plans.retrieval import read_index, write_index
 from filmweave.session import stage
 from filmweave.sources.dump import PAGE_SCHEMA
 
@@ -110,3 +112,18 @@ def test_hot_link_key_is_split_at_run_time(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_title_patterns_are_searched_once(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    spark.createDataFrame([(1, "u", "h")], "ordinal int, url string, html string").write.parquet(path)
+    physical = title_rows(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("regexp_extract(html") == 4  # title, created, directed, cast
+    assert "StringStartsWith(url" in physical
+
+
+def test_search_pushes_its_terms_to_the_written_index(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    write_index(docs, str(tmp_path / "index"), "doc_id", ["text", "source"])
+    text = plan(search.search(read_index(spark, str(tmp_path / "index")), "tion src1", 200, ["text", "source"]))
+    assert "In(term, [src1,tion])" in text or "In(term, [tion,src1])" in text

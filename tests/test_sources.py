@@ -93,3 +93,20 @@ def test_sql_functions_agree_with_the_columns(spark):
         " overlap_or_unknown(array('more'), array('a')), overlap_or_unknown(array('b'), array('a'))"
     ).first()
     assert tuple(row) == (True, False, True, False)
+
+
+def test_malformed_page_is_marked(spark, tmp_path):
+    path = tmp_path / "dump.xml"
+    path.write_text(HEAD + "<page><title>A</title></page><page><title>B</page><page><title>C</title></page></mediawiki>")
+    got = dump.scan_page_dump(spark, str(path)).select("title", "corrupt").collect()
+    assert [r.title for r in got if r.corrupt is None] == ["A", "C"]
+    assert [r.corrupt for r in got if r.corrupt] == ["<page><title>B</page>"]
+
+
+def test_dump_text_over_several_lines(spark, tmp_path):
+    path = tmp_path / "abstracts.xml"
+    path.write_text(
+        "<doc>keep <!-- hidden\nstill hidden --> <a\n href='https://en.x.org/wiki/A'>x</a>\n<script>\nvar a=1;\n</script>\n"
+        "</doc>\n<doc>\r\n<title>two</title>\r\n \n</doc>\n"
+    )
+    assert [r.text for r in dump.scan_dump_text(spark, str(path)).collect()] == ["keep  x", "two"]
