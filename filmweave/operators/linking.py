@@ -53,8 +53,9 @@ def matching_pairs(catalogue: DataFrame, wiki: DataFrame) -> DataFrame:
 
 
 def link_catalogue(catalogue: DataFrame, wiki: DataFrame) -> DataFrame:
-    """Left outer join of the catalogue with all its encyclopedia partners.
+    """Left outer join of the catalogue with all its encyclopedia partners. Runs a job when called.
 
+    Every given column is staged with the pairs, so leave out those that aren't read later.
     The pairs are staged once, so the encyclopedia is read once. Whether a row has partners depends only
     on its title and directors, so the rest is an anti join on those.
     """
@@ -108,7 +109,7 @@ def _tier_pairs(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
 def keyword_links(
     keywords: DataFrame, links: DataFrame, keyword: str = "keyword", link: str = "link"
 ) -> DataFrame:
-    """All (keyword, link) pairs where the link holds the keyword with blanks as underscores, each once.
+    """All (keyword, link) pairs where the link holds the keyword with blanks as underscores, each once. Runs jobs when called.
 
     Containment without comparing every keyword with every link, for lists of any length. A link that
     holds a keyword holds each of its grams, so the join runs on one gram per keyword and a containment
