@@ -292,3 +292,10 @@ def test_pipeline_stages(spark, tmp_path):
         assert docs.columns[: len(before.columns)] == before.columns and docs.count() > 0
     shards = [r["n"] for r in docs.groupBy("shard").agg(F.count("*").alias("n")).collect()]
     assert max(shards) - min(shards) <= 1
+
+
+def test_template_tokens(spark):
+    lines = ["a b1  c", "x y", "\t", "", " lead 7 ", "no digits at all"]
+    rows = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, line string")
+    got = [r["t"] for r in rows.orderBy("i").select(templates.tokens(F.col("line")).alias("t")).collect()]
+    assert got == [[templates.WILDCARD if any(c.isdigit() for c in t) else t for t in line.split()] for line in lines]
