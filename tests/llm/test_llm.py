@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from filmweave.llm import components, decontam, exact, licenses, mixing, quality, sharding, simhash, templates, toxicity, warc
+from filmweave.llm import components, decontam, exact, licenses, mixing, quality, queries, sharding, simhash, templates, toxicity, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _row int, size int, key string, digest string, fp string"
 
@@ -299,3 +299,9 @@ def test_template_tokens(spark):
     rows = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, line string")
     got = [r["t"] for r in rows.orderBy("i").select(templates.tokens(F.col("line")).alias("t")).collect()]
     assert got == [[templates.WILDCARD if any(c.isdigit() for c in t) else t for t in line.split()] for line in lines]
+
+
+@pytest.mark.parametrize("name", ["op4_shard_interleaved", "op5_mix_thresholds", "op9_license_ngrams"])
+def test_native_plans_have_no_python(spark, name):
+    text = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not [w for w in ("EvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "Cross") if w in text]
