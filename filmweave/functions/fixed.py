@@ -44,12 +44,19 @@ BOX_MUSIC_LINK = rf"music[{WS}]*=[{WS}]*\[\[([^\n]*)\]\]"
 BOX_YEAR_DATED = rf"released[{WS}]*=[{WS}]*\{{\{{[a-zA-Z|{WS}]*\|(\p{{Nd}}{{4}})\|"
 BOX_YEAR_PLAIN = rf"released[{WS}]*=[{WS}]*\p{{Nd}} [a-zA-Z]* (\p{{Nd}}{{4}})"
 BOX_YEAR_SHORT = rf"released[{WS}]*=[{WS}]*(?:\{{\{{[a-zA-Z|{WS}]*)?\|(\p{{Nd}}{{4}})"
+# Strict forms: the value on its own line or as a plain list; any date template; days of two digits.
+BOX_DIRECTOR_STRICT = rf"\|[{WS}]*director[ \t]*=[ \t]*(\{{\{{(?i:plainlist)\|[\s\S]*?\}}\}}|[^\n]*)"
+BOX_ITEM_BREAK = r"(?i)\{\{plainlist\||\}\}|<br */?>|\n[ \t]*\*|;"
+BOX_SHOWN = r"\|[^\]\n]*"
+BOX_YEAR_STRICT = rf"released[{WS}]*=[{WS}]*\{{\{{[^\n}}]*?\|(\p{{Nd}}{{4}})[|}}]"
+BOX_YEAR_DAY = rf"released[{WS}]*=[{WS}]*\p{{Nd}}{{1,2}} [a-zA-Z]+ (\p{{Nd}}{{4}})"
 
 # Title pages.
 DIRECTED = rf"Directed by ([^\n]*?)\.[{WS}]With"
 CREATED = rf"Created by ([^\n]*?)\.[{WS}]With"
 CAST_TAIL = r'"cast":\{"edges":([^\n]*)'
 CAST_NAME = r'"nameText":\{"text":"([^"]+)","__typename":"NameText"'
+ABSOLUTE_LINK = rf"<a[{WS}]+[^>]*?href=[\"'](https?://(?:www\.)?HOST/[^\"']*)[\"'][^>]*>"
 TITLE_PATH = r"/title/[^\"']*"
 NAME_PATH = r"/name/[^\"']*"
 
@@ -73,6 +80,11 @@ LINKED_CELL = (
 )
 ONE_CREATOR = rf"<th[^\n]*>[{WS}]*Created by[{WS}]*{LINKED_CELL}"
 ONE_DIRECTOR = rf"Directed by[{WS}]*{LINKED_CELL}"
+# What the linear forms of the composer and of single names must give, each as one pattern with one group.
+PLAIN_COMPOSER = r"Music by[^\n]*<a[^\n]*>([^\n]*)</a>[^\n]*<th[^\n]*>P"
+_PLAIN_CELL = rf"[{WS}]*</th><td [^\n]*<a[{WS}]*href[^\n]*>[{WS}]*([^\n]*)[{WS}]*</a></td>"
+PLAIN_CREATOR = rf"<th[^\n]*>[{WS}]*Created by{_PLAIN_CELL}"
+PLAIN_DIRECTOR = rf"Directed by{_PLAIN_CELL}"
 CREATOR_LIST = r"Created by[\s\S]*?<ul>([\s\S]*?)</ul>"
 DIRECTOR_LIST = r"Directed by[\s\S]*?<ul>([\s\S]*?)</ul>"
 ANCHOR_TEXT = rf"<a[{WS}]*[^>]*>([^\n]*?)</a>"

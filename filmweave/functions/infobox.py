@@ -22,11 +22,26 @@ def clean_title(title: Column) -> Column:
     return strip(F.regexp_replace(title, fixed.BRACKETED, ""))
 
 
-def infobox_directors(text: Column) -> Column:
+def _strict_directors(text: Column) -> Column:
+    """Every listed or broken-off name, a link by its target; an empty value is an absent one."""
+    items = F.split(first_match(text, fixed.BOX_DIRECTOR_STRICT), fixed.BOX_ITEM_BREAK)
+
+    def name(item: Column) -> Column:
+        bare = F.regexp_replace(F.regexp_replace(item, fixed.BOX_SHOWN, ""), fixed.BRACKETED, "")
+        return strip(F.replace(F.replace(bare, F.lit("[["), F.lit("")), F.lit("]]"), F.lit("")))
+
+    names = F.filter(F.transform(items, name), lambda n: n != "")
+    return bind(names, lambda n: F.when(F.size(n) > 0, n))
+
+
+def infobox_directors(text: Column, strict: bool = False) -> Column:
     """Directors of the first ``director =`` line.
 
-    Kept as found: text after the first pipe is lost, and an empty value takes the following line.
+    Kept as found: text after the first pipe is lost, and an empty value takes the following line. The strict form
+    reads piped links, plain lists and empty values for what they are.
     """
+    if strict:
+        return F.coalesce(_strict_directors(text), _absent_list())
     line = first_match(text, fixed.BOX_DIRECTOR)
     line = F.replace(line, F.lit("<br>"), F.lit("; "))
     line = strip(F.replace(F.replace(line, F.lit("]]"), F.lit("")), F.lit("[["), F.lit("")))
@@ -48,8 +63,11 @@ def infobox_music(text: Column) -> Column:
     return F.coalesce(listed, linked, _absent_list())
 
 
-def infobox_release_year(text: Column) -> Column:
-    """Year of the first of three date layouts that is present."""
+def infobox_release_year(text: Column, strict: bool = False) -> Column:
+    """Year of the first of three date layouts that is present; the strict form reads named fields and two-digit days too."""
+    if strict:
+        found = [first_match(text, p) for p in (fixed.BOX_YEAR_STRICT, fixed.BOX_YEAR_DAY)]
+        return F.coalesce(*found, F.lit(fixed.ABSENT))
     return F.coalesce(
         first_match(text, fixed.BOX_YEAR_DATED),
         first_match(text, fixed.BOX_YEAR_PLAIN),

@@ -63,11 +63,12 @@ def page_cast(html: Column, drop_last: bool = True) -> Column:
     return bind(names, lambda n: F.slice(n, F.lit(1), F.greatest(F.size(n) - 1, F.lit(0))))
 
 
+def absolute_pattern(host: str = fixed.SITE_HOST) -> str:
+    return fixed.ABSOLUTE_LINK.replace("HOST", literal_pattern(host))
+
+
 def absolute_links(html: Column, host: str = fixed.SITE_HOST) -> Column:
-    pattern = (
-        rf"<a[{fixed.WS}]+[^>]*?href=[\"'](https?://(?:www\.)?{literal_pattern(host)}/[^\"']*)[\"'][^>]*>"
-    )
-    return all_matches(html, pattern, 1)
+    return all_matches(html, absolute_pattern(host), 1)
 
 
 def relative_links(

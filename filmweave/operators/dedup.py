@@ -1,7 +1,8 @@
 """Dedup, merge and union. First-wins rules take an explicit ordinal: Spark rows have no order.
 
-"First per key" is an aggregate (``min_by`` of the whole row), not a window: each task keeps one row per
-key before the shuffle, so a key that holds a third of all rows sends one row per task.
+"First per key" is an aggregate, not a window: each task keeps one row per key before the shuffle, so a key that holds
+a third of all rows sends one row per task. For narrow rows it is ``min_by`` of the whole row; for pages only keys and
+ordinals are aggregated, and the pages are filtered by what came out.
 """
 
 from __future__ import annotations
@@ -24,8 +25,34 @@ def distinct_title_directors(catalogue: DataFrame) -> DataFrame:
     return catalogue.dropDuplicates(["title", "director_list"])
 
 
+def first_of_wide(df: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """One row per key, the one with the least ordinal, for rows too wide to aggregate. Runs jobs when called.
+
+    Keys and ordinals alone are shuffled; of them the keys that repeat are staged, so the planner knows their size and
+    broadcasts them if they are few: then no wide row is shuffled. Missing keys count as one key, a missing
+    ordinal comes first. Rows that tie for the first place are told apart by a hash of the row.
+    """
+    narrow = df.select(F.col(key).alias("_key"), F.col(ordinal).alias("_at"))
+    counts = narrow.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.count("_at").alias("known"), F.min("_at").alias("at"))
+    least = F.when(F.col("n") == F.col("known"), F.col("at")).alias("_least")
+    repeated = stage(counts.filter("n > 1").select("_key", least, F.lit(True).alias("_again")), "repeated-keys")
+    first = F.col(ordinal).eqNullSafe(F.col("_least"))
+    kept = df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left").filter(F.col("_again").isNull() | first)
+    kept = kept.select(*df.columns)
+
+    ends = repeated.select(F.col("_key").alias("_of"), "_least")
+    at_least = narrow.join(ends, F.col("_key").eqNullSafe(F.col("_of")) & F.col("_at").eqNullSafe(F.col("_least")), "left_semi")
+    tied = stage(at_least.groupBy("_key").count().filter("count > 1").select("_key"), "tied-keys")
+    if tied.isEmpty():
+        return kept
+    among = F.col(key).eqNullSafe(F.col("_key"))
+    settled = first_per_key(kept.join(tied, among, "left_semi"), [key], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return kept.join(tied, among, "left_anti").unionByName(settled)
+
+
 def distinct_url(df: DataFrame, ordinal: str, key: str = "url") -> DataFrame:
-    return first_per_key(df, [key], F.col(ordinal))
+    """Pages, one per url. Runs jobs when called."""
+    return first_of_wide(df, key, ordinal)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -37,14 +64,17 @@ def union_by_name(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def new_keys(existing: DataFrame, new: DataFrame, key: str = "url", ordinal: str = "ordinal") -> DataFrame:
-    """Rows of ``new`` with an unseen key, one per key.
+    """Rows of ``new`` with an unseen key, one per key. Runs jobs when called.
 
     With a store that is unique by key, appending these is the whole merge: of the store only the key
     column is read and nothing is rewritten. The store's keys are first cut down to those of ``new``; that
-    takes no shuffle of the store while the new keys prove small enough to broadcast.
+    takes no shuffle of the store while the new keys prove small enough to broadcast. A missing key is a key.
     """
-    seen = existing.select(key).join(new.select(key).distinct(), key, "left_semi")
-    return first_per_key(new, [key], F.col(ordinal)).join(seen, key, "left_anti").select(*new.columns)
+    added = stage(new.select(F.col(key).alias("_new")).distinct(), "new-keys")
+    seen = existing.select(F.col(key).alias("_seen")).join(added, F.col("_seen").eqNullSafe(F.col("_new")), "left_semi")
+    seen = stage(seen.distinct(), "seen-keys")
+    fresh = new.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+    return first_of_wide(fresh, key, ordinal)
 
 
 def merge_by_key(
@@ -54,11 +84,9 @@ def merge_by_key(
     ordinal: str = "ordinal",
     existing_is_unique: bool = False,
 ) -> DataFrame:
-    """Append ``new`` to ``existing``; an existing row wins over a new one, an earlier one over a later."""
-    if existing_is_unique:
-        return existing.unionByName(new_keys(existing, new, key, ordinal))
-    both = existing.withColumn("_turn", F.lit(0)).unionByName(new.withColumn("_turn", F.lit(1)))
-    return first_per_key(both, [key], F.struct("_turn", ordinal)).drop("_turn")
+    """Append ``new`` to ``existing``; an existing row wins over a new one, an earlier one over a later. Runs jobs when called."""
+    kept = existing if existing_is_unique else first_of_wide(existing, key, ordinal)
+    return kept.unionByName(new_keys(existing, new, key, ordinal))
 
 
 def first_per_director(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pages
-from ..session import stage
+from ..session import stage, staging_path
 from .skew import repeat_hot, spread_hot
 
 HUB_DEGREE = 1_000_000  # out-links from which a page counts as a hub
@@ -29,6 +30,15 @@ def link_edges(
     return edges if unique_urls else edges.distinct()
 
 
+def _bucketed(links: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
+    """``links`` as a table in the shared folder, bucketed and sorted by ``keys``, and its name."""
+    spark = links.sparkSession
+    name, buckets = f"edges_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = links.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", staging_path(spark, "edges")).saveAsTable(name)
+    return spark.table(name), name
+
+
 def reach(
     edges: DataFrame,
     seeds: DataFrame,
@@ -38,33 +48,44 @@ def reach(
     node: str = "url",
     hub_degree: int = HUB_DEGREE,
 ) -> DataFrame:
-    """Nodes within ``max_depth`` links of a seed, with their least depth.
+    """Nodes within ``max_depth`` links of a seed, with their least depth. Runs jobs when called.
 
-    One join per level. The edges are staged once; out-links of a hub are salted there by target, so that
-    no task gets all of them, and the frontier repeats a hub once per salt. A level keeps new nodes only
-    and is staged, which keeps plans short and lets the walk stop at the first empty level.
+    One join per level. The edges are laid out by source once, as a bucketed table, so that a level shuffles its
+    frontier at most and never the edges. Out-links of a hub are salted there by target, so that no task gets all
+    of them, and the frontier repeats a hub once per salt. A level keeps new nodes only and is staged, which
+    keeps plans short and lets the walk stop at the first empty level.
     """
+    spark = edges.sparkSession
     links = edges.select(F.col(src).alias("_src"), F.col(dst).alias("_dst"))
-    links = stage(links.filter("_src <> _dst"), "edges")
-    degrees = links.groupBy("_src").agg(F.count(F.lit(1)).alias("_degree"))
+    on = ["_src"]
+    links, name = _bucketed(links.filter("_src <> _dst"), on)
+    tables = [name]
+    degrees = links.groupBy("_src").agg(F.count(F.lit(1)).alias("_degree"))  # no shuffle either
     hubs = stage(degrees.filter(F.col("_degree") >= hub_degree).select("_src"), "hubs")
     has_hubs = not hubs.isEmpty()
     if has_hubs:
-        links = stage(spread_hot(links, hubs, "_src", "_dst"), "edges")
+        on = ["_src", "_salt"]
+        links, name = _bucketed(spread_hot(links, hubs, "_src", "_dst"), on)
+        tables.append(name)
 
     frontier = stage(seeds.select(F.col(node).alias("_node")).filter("_node IS NOT NULL").distinct(), "reach-0")
     levels = [frontier]
     for depth in range(1, max_depth + 1):
         start = frontier.withColumnRenamed("_node", "_src")
-        on = ["_src"]
         if has_hubs:
             start = repeat_hot(start, hubs, "_src")
-            on = ["_src", "_salt"]
         found = links.join(start, on, "left_semi").select(F.col("_dst").alias("_node")).distinct()
         visited = reduce(DataFrame.union, levels)
         frontier = stage(found.join(visited, "_node", "left_anti"), f"reach-{depth}")
         if frontier.isEmpty():
             break
         levels.append(frontier)
+    for name in tables:
+        spark.sql(f"DROP TABLE {name}")  # the name; every level is staged by now
     result = [level.select(F.col("_node").alias(node), F.lit(i).alias("depth")) for i, level in enumerate(levels)]
     return reduce(DataFrame.union, result)
+
+
+def page_reach(pages_df: DataFrame, seeds: DataFrame, max_depth: int, url: str = "url", html: str = "html") -> DataFrame:
+    """Urls within ``max_depth`` links of the seeds in stored pages, with their least depth. Runs jobs when called."""
+    return reach(link_edges(pages_df, url, html), seeds, max_depth, node=url)

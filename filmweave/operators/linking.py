@@ -75,8 +75,6 @@ def film_keywords(catalogue: DataFrame, always: str | None = fixed.ALWAYS_KEYWOR
 
 # Gram lengths of the containment join. A keyword uses the longest one that fits it.
 GRAMS = (12, 6, 3, 2, 1)
-SALTS = 16
-BROADCAST_BYTES = 16 * 1024 * 1024  # text of the keywords of one gram length that may be broadcast, as measured
 
 
 def _grams(text: Column, q: int) -> Column:
@@ -84,8 +82,8 @@ def _grams(text: Column, q: int) -> Column:
     return F.array_distinct(all_matches(text, f"(?s)(?=(.{{{q}}}))", 1))
 
 
-def _tier_pairs(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
-    """Pairs for keywords of at least q characters."""
+def _tier_candidates(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
+    """``_keyword, _word, _id`` of the links that hold the chosen gram of a keyword of at least q characters."""
     grams = words.select("_keyword", "_word", F.explode(_grams(F.col("_word"), q)).alias("_gram"))
     shared = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     chosen = (
@@ -95,57 +93,65 @@ def _tier_pairs(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
         .select("_keyword", "_word", F.col("_pick._gram").alias("_gram"))
     )
     chosen = stage(chosen, "chosen")
-    link_grams = links.select("_link", F.explode(_grams(F.col("_link"), q)).alias("_gram"))
-    if chosen.agg(F.sum(F.octet_length("_keyword") + F.octet_length("_word"))).first()[0] <= BROADCAST_BYTES:
-        found = link_grams.join(F.broadcast(chosen), "_gram")
-    else:
-        # A merge join: the planner does not see how much the links grow when cut, and must not broadcast them.
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        salted = link_grams.withColumn("_salt", F.pmod(F.hash("_link"), F.lit(SALTS)))
-        found = salted.join(chosen.withColumn("_salt", salts).hint("merge"), ["_gram", "_salt"])
-    return found.filter(F.contains("_link", "_word")).select("_keyword", "_link")
+    wanted = stage(chosen.select("_gram").distinct(), "grams")
+    link_grams = links.select("_id", F.explode(_grams(F.col("_link"), q)).alias("_gram"))
+    # A semi join can broadcast its right side only, so the cut-up links never are; it goes by the size of the grams.
+    hits = stage(link_grams.join(wanted, "_gram", "left_semi"), "gram-hits")
+    return hits.join(chosen, "_gram").select("_keyword", "_word", "_id")
 
 
-def keyword_links(
-    keywords: DataFrame, links: DataFrame, keyword: str = "keyword", link: str = "link"
-) -> DataFrame:
-    """All (keyword, link) pairs where the link holds the keyword with blanks as underscores, each once. Runs jobs when called.
+def _candidates(keywords: DataFrame, links: DataFrame, keyword: str, link: str) -> tuple[DataFrame, DataFrame]:
+    """``_keyword, _word, _id`` that may match, and the distinct links as ``_id, _link``.
 
-    Containment without comparing every keyword with every link, for lists of any length. A link that
-    holds a keyword holds each of its grams, so the join runs on one gram per keyword and a containment
-    test confirms. The gram is the one that fewest keywords share: then a gram of a link leads to few
-    keywords, and the candidates stay in proportion to the links' characters. Grams that crowd the links
-    are spread by salt, for which each keyword, one row, is repeated. Keywords that measure
-    small are broadcast instead, and then no link is shuffled.
+    A link that holds a keyword holds each of its grams, so the join runs on one gram per keyword. The gram is the
+    one that fewest keywords share: then a gram of a link leads to few keywords, and the candidates stay in
+    proportion to the links' characters. Links go through the join as 64-bit numbers. Should two links share a
+    number, both are candidates where one is, and the test that follows tells them apart.
     """
     words = keywords.select(
         F.col(keyword).alias("_keyword"), F.replace(F.col(keyword), F.lit(" "), F.lit("_")).alias("_word")
     )
     words = stage(words.filter("_word IS NOT NULL").distinct(), "keywords")
-    distinct_links = stage(links.select(F.col(link).alias("_link")).filter("_link IS NOT NULL").distinct(), "links")
-
-    found = []
-    if not words.filter("_word = ''").isEmpty():  # every link holds the empty keyword
-        found.append(distinct_links.select(F.lit("").alias("_keyword"), "_link"))
-    longer = None
+    whole = links.select(F.xxhash64(link).alias("_id"), F.col(link).alias("_link"))
+    whole = stage(whole.filter("_link IS NOT NULL").distinct(), "links")
+    found, longer = [], None
     for q in GRAMS:
         fits = F.length("_word") >= q
         tier = words.filter(fits if longer is None else fits & (F.length("_word") < longer))
         longer = q
         if not tier.isEmpty():
-            found.append(_tier_pairs(tier, distinct_links, q))
-    if not found:
-        found.append(words.select("_keyword", F.col("_word").alias("_link")))  # no keywords, no rows
-    pairs = reduce(DataFrame.unionByName, found)
+            found.append(_tier_candidates(tier, whole, q))
+    empty = words.filter("_word = ''")
+    if not found or not empty.isEmpty():  # every link holds the empty keyword, which is one row
+        held = whole.select(F.lit("").alias("_keyword"), F.lit("").alias("_word"), "_id")
+        found.append(held if not empty.isEmpty() else held.filter(F.lit(False)))
+    return reduce(DataFrame.unionByName, found), whole
+
+
+def keyword_links(
+    keywords: DataFrame, links: DataFrame, keyword: str = "keyword", link: str = "link"
+) -> DataFrame:
+    """All (keyword, link) pairs where the link holds the keyword with blanks as underscores, each once. Runs jobs when called.
+
+    Containment without comparing every keyword with every link, for lists of any length: candidates by a shared
+    gram, then the link's text is fetched and tested.
+    """
+    found, whole = _candidates(keywords, links, keyword, link)
+    pairs = found.distinct().join(whole, "_id").filter(F.contains("_link", "_word"))
     return pairs.select(F.col("_keyword").alias(keyword), F.col("_link").alias(link))
 
 
 def match_keywords_to_links(
     keywords: DataFrame, links: DataFrame, keyword: str = "keyword", link: str = "link"
 ) -> DataFrame:
-    """Rows of ``links`` whose link holds at least one keyword; a row stays one row."""
-    matched = keyword_links(keywords, links, keyword, link).select(link).distinct()
-    return links.join(matched, link, "left_semi").select(*links.columns)
+    """Rows of ``links`` whose link holds at least one keyword; a row stays one row. Runs jobs when called.
+
+    A link is passed on at the first candidate that it holds; pairs are not built.
+    """
+    found, whole = _candidates(keywords, links, keyword, link)
+    candidate = found.select(F.col("_id").alias("_of"), "_word")
+    matched = whole.join(candidate, (F.col("_id") == F.col("_of")) & F.contains("_link", "_word"), "left_semi")
+    return links.join(matched.select(F.col("_link").alias(link)), link, "left_semi").select(*links.columns)
 
 
 def enrich(catalogue: DataFrame, details: DataFrame, key: str | list[str] = "title") -> DataFrame:

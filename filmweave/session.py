@@ -42,15 +42,6 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has cores, for costly work on each row.
-
-    A scan of many files, which any large table is, stays as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from filmweave.functions import fixed
-from filmweave.session import spread
 
 TEXT_TABLES = ("documents", "pages")
 TABLES = ("supplier", "part", "orders", "lineitem", "customer", "documents", "pages")
@@ -24,9 +23,10 @@ def load(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; the text tables, whose rows cost most, are spread when they come in few splits."""
+    """A test table; a text table that is a single file, as no large one is, is dealt to all cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    alone = name in TEXT_TABLES and len(df.inputFiles()) == 1
+    return df.repartition(spark.sparkContext.defaultParallelism) if alone else df
 
 
 # One encyclopedia page per part and supplier that meet in lineitem.
@@ -192,3 +192,12 @@ GRAPH_SEEDS = """
 SELECT concat('c', CAST(c_custkey AS STRING)) AS url FROM customer
 WHERE c_acctbal = (SELECT min(c_acctbal) FROM customer)
 """
+
+# Stored pages that link to each other: each to two others, of which those beyond the last page aren't stored.
+WALK_PAGES = f"""
+SELECT concat('{fixed.TITLE_PREFIX}tt', CAST(page_id AS STRING)) AS url,
+  concat(html, '<a href="/title/tt', CAST(2 * page_id AS STRING), '">', '<a class="n" href="{fixed.TITLE_PREFIX}tt',
+         CAST(2 * page_id + 1 AS STRING), '">') AS html
+FROM pages
+"""
+WALK_SEEDS = f"SELECT concat('{fixed.TITLE_PREFIX}tt', CAST(min(page_id) + 1 AS STRING)) AS url FROM pages"

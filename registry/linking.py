@@ -12,7 +12,7 @@ from filmweave.plans.linkage import extract_infobox
 from . import inputs
 from .checks import Checks
 from .markup import WIKI_SQL
-from .pages import EDGES_SQL
+from .pages import EDGES_SQL, edges_sql
 from .sqltext import joined, split_trimmed
 
 CHECKS = Checks()
@@ -163,3 +163,18 @@ CHECKS.oracles["reach"] = f"""WITH RECURSIVE e AS MATERIALIZED ({inputs.GRAPH_ED
   r(url, depth) AS (SELECT url, 0 FROM ({inputs.GRAPH_SEEDS}) s
     UNION SELECT e.dst_url, r.depth + 1 FROM r JOIN e ON e.src_url = r.url WHERE r.depth < 4)
 SELECT url, CAST(min(depth) AS BIGINT) AS depth FROM r GROUP BY url"""
+
+WALK_DEPTH = 6
+
+
+def _page_reach(spark, sf_dir):
+    stored, seeds = inputs.load(spark, sf_dir, inputs.WALK_PAGES), inputs.load(spark, sf_dir, inputs.WALK_SEEDS)
+    reached = graph.page_reach(stored, seeds, WALK_DEPTH)
+    return reached.select("url", F.col("depth").cast("bigint").alias("depth"))
+
+
+CHECKS.queries["page_reach"] = _page_reach
+CHECKS.oracles["page_reach"] = f"""WITH RECURSIVE e AS MATERIALIZED ({edges_sql(inputs.WALK_PAGES)}),
+  r(url, depth) AS (SELECT url, 0 FROM ({inputs.WALK_SEEDS}) s
+    UNION SELECT e.dst_url, r.depth + 1 FROM r JOIN e ON e.src_url = r.url WHERE r.depth < {WALK_DEPTH})
+SELECT url, CAST(min(depth) AS BIGINT) AS depth FROM r GROUP BY url"""

@@ -51,6 +51,14 @@ CHECKS.column("infobox_music", inputs.WIKI_PAGES, lambda: infobox.infobox_music(
 CHECKS.column("infobox_release_year", inputs.WIKI_PAGES, lambda: infobox.infobox_release_year(F.col("txt")), YEAR, "k, s",
      "release")
 
+_items = f"string_split_regex({group('txt', fixed.BOX_DIRECTOR_STRICT)}, {lit(fixed.BOX_ITEM_BREAK)})"
+_name = strip(swap(sub(sub("x", fixed.BOX_SHOWN), fixed.BRACKETED), ("[[", ""), ("]]", "")))
+_names = f"list_filter(list_transform({_items}, lambda x: {_name}), lambda x: x <> '')"
+CHECKS.column("infobox_directors_strict", inputs.WIKI_PAGES, lambda: infobox.infobox_directors(F.col("txt"), strict=True),
+     f"CASE WHEN len({_names}) > 0 THEN {_names} ELSE ['not found'] END", "k, s", "director_wiki", True)
+CHECKS.column("infobox_release_year_strict", inputs.WIKI_PAGES, lambda: infobox.infobox_release_year(F.col("txt"), strict=True),
+     f"coalesce({group('txt', fixed.BOX_YEAR_STRICT)}, {group('txt', fixed.BOX_YEAR_DAY)}, 'not found')", "k, s", "release")
+
 
 def _infobox(spark, sf_dir):
     rows = extract_infobox(film_pages(inputs.load(spark, sf_dir, inputs.WIKI_PAGES), "txt"), "txt")
@@ -103,3 +111,28 @@ CHECKS.add(
     f"""SELECT k, s, title_wiki, {joined("d")} AS director_wiki, {joined("m")} AS music, release, list_has_any(d, m) AS overlap
 FROM (SELECT k, s, {TITLE} AS title_wiki, {DIRECTORS} AS d, {MUSIC} AS m, {YEAR} AS release FROM ({inputs.WIKI_PAGES}) w) x""",
 )
+
+_CLEAN = strip(sub(_clean, f"[{fixed.WS}]+", " "))
+
+
+def _registered_texts(spark, sf_dir):
+    """The functions over list texts and dirty texts."""
+    register_functions(spark)
+    return inputs.load(
+        spark,
+        sf_dir,
+        f"""SELECT d.k, clean_text(d.txt) AS cleaned, array_join(split_directors(clean_text(d.txt)), '|') AS parts,
+  array_join(parse_list_text(l.txt), '|') AS listed,
+  overlap_or_unknown(parse_list_text(l.txt), split_directors(clean_text(d.txt))) AS overlap
+  FROM ({inputs.DIRTY_TEXTS}) d JOIN ({inputs.LIST_TEXTS}) l ON d.k = l.k""",
+    )
+
+
+CHECKS.add(
+    "sql_functions_texts",
+    _registered_texts,
+    f"""WITH d AS (SELECT k, {_CLEAN} AS cleaned FROM ({inputs.DIRTY_TEXTS}) a), l AS (SELECT k, {LISTED} AS items FROM ({inputs.LIST_TEXTS}) b),
+  p AS (SELECT k, cleaned, {split_trimmed("cleaned", ",")} AS parts FROM d)
+SELECT p.k, cleaned, {joined("parts")} AS parts, {joined("items")} AS listed,
+  list_contains(items, 'more') OR list_has_any(items, parts) AS overlap FROM p JOIN l ON p.k = l.k""",
+)

@@ -117,14 +117,20 @@ CHECKS.oracles["catalogue_from_pages"] = f"""SELECT url, {_clean_sql("title")} A
   {joined(split_trimmed(_clean_sql("director"), ","))} AS director_list, {joined("names")} AS names FROM ({FIRST_SQL}) f"""
 
 # -- links and text --------------------------------------------------------------------------------------
-ABSOLUTE = every("html", rf"<a[{fixed.WS}]+[^>]*?href=[\"'](https?://(?:www\.)?imdb\.com/[^\"']*)[\"'][^>]*>", 1)
+ABSOLUTE = every("html", pages.absolute_pattern(), 1)
 _paths = f"list_concat({every('html', fixed.TITLE_PATH)}, {every('html', fixed.NAME_PATH)})"
 RELATIVE = f"list_transform({in_order(_paths)}, lambda x: concat('{fixed.SITE}', x))"
 CHECKS.column("absolute_links", inputs.SITE_PAGES, lambda: pages.absolute_links(F.col("html")), ABSOLUTE, is_list=True)
 CHECKS.column("relative_links", inputs.SITE_PAGES, lambda: pages.relative_links(F.col("html")), RELATIVE, is_list=True)
-EDGES_SQL = f"""WITH t AS ({inputs.SITE_PAGES}),
+
+
+def edges_sql(stored: str) -> str:
+    return f"""WITH t AS ({stored}),
   e AS (SELECT url AS src_url, unnest(list_concat({ABSOLUTE}, {RELATIVE})) AS dst_url FROM t)
 SELECT DISTINCT src_url, dst_url FROM e WHERE NOT starts_with(dst_url, 'https://apps.apple.com')"""
+
+
+EDGES_SQL = edges_sql(inputs.SITE_PAGES)
 CHECKS.column("page_text", "SELECT page_id AS k, html FROM pages", lambda: pages.page_text(F.col("html")), text_of("html"))
 
 
@@ -187,23 +193,19 @@ _items = every(_row("Written by|Story by"), fixed.LIST_ITEM, 1)
 _cells = every(_row("Written by|Story by"), fixed.TABLE_CELL, 1)
 WRITERS = f"""list_sort(list_distinct(list_transform(CASE WHEN len({_items}) > 0 THEN {_items} ELSE {_cells} END,
   lambda x: {text_of("x")})))"""
-COMPOSER = group("html", r"Music by[^\n]*(<a[^\n]*>)([^\n]*)</a>[^\n]*<th([^\n]*)>P", 2)
+COMPOSER = group("html", fixed.PLAIN_COMPOSER)
 
 
 def _linked(pattern: str) -> str:
     return f"CASE WHEN regexp_matches(html, {lit(pattern)}) THEN {every(f'regexp_extract(html, {lit(pattern)}, 1)', fixed.ANCHOR_TEXT, 1)} END"
 
 
-def _single(pattern: str, n: int) -> str:
-    return f"CASE WHEN regexp_matches(html, {lit(pattern)}) THEN [regexp_extract(html, {lit(pattern)}, {n})] END"
+def _single(pattern: str) -> str:
+    return f"CASE WHEN regexp_matches(html, {lit(pattern)}) THEN [regexp_extract(html, {lit(pattern)}, 1)] END"
 
 
-_w = f"[{fixed.WS}]*"
-DETAIL_DIRECTORS = f"""coalesce(
-  {_single(rf"<th([^\n]*)>{_w}Created by{_w}</th><td ([^\n]*)<a{_w}href([^\n]*)>{_w}([^\n]*){_w}</a></td>", 4)},
-  {_linked(fixed.CREATOR_LIST)},
-  {_single(rf"Directed by{_w}</th><td ([^\n]*)<a{_w}href([^\n]*)>{_w}([^\n]*){_w}</a></td>", 3)},
-  {_linked(fixed.DIRECTOR_LIST)})"""
+DETAIL_DIRECTORS = f"""coalesce({_single(fixed.PLAIN_CREATOR)}, {_linked(fixed.CREATOR_LIST)},
+  {_single(fixed.PLAIN_DIRECTOR)}, {_linked(fixed.DIRECTOR_LIST)})"""
 
 CHECKS.column("detail_release", inputs.DETAIL_PAGES, lambda: details.detail_release(F.col("html")), RELEASE, out="release_date")
 CHECKS.column("detail_writers", inputs.DETAIL_PAGES, lambda: F.array_sort(details.detail_writers(F.col("html"))), WRITERS,

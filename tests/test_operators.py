@@ -1,12 +1,12 @@
 """Operators against brute force on small fixtures, hot keys included."""
 
 import random
-import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from filmweave.functions import details
+from filmweave.functions import details, fixed, infobox
 from filmweave.operators import budget, dedup, graph, linking, quality
 
 
@@ -67,9 +67,7 @@ def test_link_is_the_left_outer_join(spark, seed):
 KEYWORDS = ["Star Trek", "é_ü", "a", "_", "", "abc", "Ann Lee", "https://en.w.org/wiki/Star_Trek", "trek", "aaaaaaaaaaaa", "x" * 40]
 
 
-@pytest.mark.parametrize("broadcast", [2**24, 0])
-def test_keyword_links_are_all_containments(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(linking, "BROADCAST_BYTES", broadcast)
+def test_keyword_links_are_all_containments(spark):
     rnd = random.Random(7)
     links = ["https://en.w.org/wiki/Star_Trek" + str(i % 5) for i in range(30)]  # a crowd under every gram
     links += ["".join(rnd.choice("aab_éü") for _ in range(rnd.randint(0, 30))) for _ in range(60)] + [None, "", "x" * 41]
@@ -180,18 +178,59 @@ def pieced(seed, n):
 def test_composer_and_single_names_follow_the_plain_patterns(spark):
     texts = pieced(1, 3000) + ["Music by" + t for t in pieced(2, 3000)]
     texts += ["<th>Created by</th><td " + t for t in pieced(3, 2000)] + ["Directed by</th><td " + t for t in pieced(4, 2000)]
-    composer = re.compile(r"Music by.*(<a.*>)(.*)</a>.*<th(.*)>P")
-    creator = re.compile(r"<th(.*)>\s*Created by\s*</th><td (.*)<a\s*href(.*)>\s*(.*)\s*</a></td>")
-    director = re.compile(r"Directed by\s*</th><td (.*)<a\s*href(.*)>\s*(.*)\s*</a></td>")
+    composer, creator, director = map(regex.compile, (fixed.PLAIN_COMPOSER, fixed.PLAIN_CREATOR, fixed.PLAIN_DIRECTOR))
     df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
     x = F.col("x")
     got = df.select("x", details.detail_composer(x).alias("m"), details.detail_directors(x).alias("d")).collect()
     hits = 0
     for row in got:
         music = composer.search(row.x)
-        assert row.m == (music.group(2) if music else None), row.x
+        assert row.m == (music.group(1) if music else None), row.x
         one, two = creator.search(row.x), director.search(row.x)
-        names = [one.group(4)] if one else [two.group(3)] if two else None
+        names = [one.group(1)] if one else [two.group(1)] if two else None
         assert row.d == names, row.x
         hits += (music is not None) + (names is not None)
     assert hits > 300
+
+
+# -- pages: first of wide rows, strict infobox fields ----------------------------------------------------
+def test_wide_rows_with_missing_keys_ordinals_and_ties(spark):
+    data = [("a", 2, "x"), ("a", 1, "y"), ("a", 1, "z"), (None, 5, "n"), (None, None, "m"), ("b", None, "p"), ("c", 3, "q"), ("c", 3, "q")]
+    df = spark.createDataFrame(data, "url string, ordinal int, html string")
+    got = rows(dedup.distinct_url(df, "ordinal"), "url", "ordinal", "html")
+    assert [r[:2] for r in got] == sorted([("a", 1), (None, None), ("b", None), ("c", 3)], key=str)
+    assert got == rows(dedup.distinct_url(df.orderBy(F.desc("html")), "ordinal"), "url", "ordinal", "html")
+    merged = dedup.merge_by_key(df.filter("url = 'a'"), df.filter("url IS NULL OR url <> 'b'"))
+    assert rows(merged, "url", "ordinal") == sorted([("a", 1), (None, None), ("c", 3)], key=str)
+    assert dedup.distinct_url(df.limit(0), "ordinal").isEmpty()
+
+
+def test_unique_wide_rows_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    spark.range(50).select(F.concat(F.lit("u"), "id").alias("url"), F.col("id").alias("ordinal"), F.lit("h").alias("html")).write.parquet(path)
+    plan = dedup.distinct_url(spark.read.parquet(path), "ordinal")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize(
+    "line, directors, year",
+    [
+        ("| director = [[Ann Lee|Ann]]<br>[[Bo]] (TV)\n| released = 14 May 1960", ["Ann Lee", "Bo"], "1960"),
+        ("| director = {{plainlist|\n* [[A]]\n* B C\n}}\n| released = {{Film date|df=yes|1999|1|2}}", ["A", "B C"], "1999"),
+        ("| director =\n| released = {{Film date|2001}}", ["not found"], "2001"),
+        ("| music = X", ["not found"], "not found"),
+    ],
+)
+def test_strict_infobox(value, line, directors, year):
+    text = "{{Infobox film\n" + line + "\n}}"
+    assert value(lambda c: infobox.infobox_directors(c, strict=True), text) == directors
+    assert value(lambda c: infobox.infobox_release_year(c, strict=True), text) == year
+
+
+def test_reach_salts_hubs_and_lays_edges_out_once(spark):
+    edges = [("h", f"n{i}") for i in range(40)] + [("n1", "z"), ("z", "h"), ("h", "h"), (None, "n2")]
+    df = spark.createDataFrame(edges, "src_url string, dst_url string")
+    seeds = spark.createDataFrame([("h",), (None,)], "url string")
+    expected = sorted([("h", 0), ("z", 2)] + [(f"n{i}", 1) for i in range(40)], key=str)
+    for degree in (10, 1_000_000):
+        assert rows(graph.reach(df, seeds, 5, hub_degree=degree), "url", "depth") == expected

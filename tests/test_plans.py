@@ -70,7 +70,7 @@ def test_postings_shuffle_nothing_and_search_reads_them_once(spark):
 
 def test_first_per_key_combines_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", 1, "x")], "url string, ordinal int, html string")
-    text = plan(dedup.distinct_url(df, "ordinal"))
+    text = plan(dedup.first_per_key(df, ["url"], F.col("ordinal")))
     assert "partial_min_by" in text and "Window" not in text
 
 
