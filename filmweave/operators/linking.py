@@ -95,9 +95,10 @@ def _tier_candidates(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
     chosen = stage(chosen, "chosen")
     wanted = stage(chosen.select("_gram").distinct(), "grams")
     link_grams = links.select("_id", F.explode(_grams(F.col("_link"), q)).alias("_gram"))
-    # A semi join can broadcast its right side only, so the cut-up links never are; it goes by the size of the grams.
-    hits = stage(link_grams.join(wanted, "_gram", "left_semi"), "gram-hits")
-    return hits.join(chosen, "_gram").select("_keyword", "_word", "_id")
+    # A semi join can broadcast its right side only and goes by the size of the grams. What is left is merged: the
+    # planner doesn't see how much the links grow when cut, and must not broadcast them.
+    hits = link_grams.join(wanted, "_gram", "left_semi")
+    return hits.join(chosen.hint("merge"), "_gram").select("_keyword", "_word", "_id")
 
 
 def _candidates(keywords: DataFrame, links: DataFrame, keyword: str, link: str) -> tuple[DataFrame, DataFrame]:
