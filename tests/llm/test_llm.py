@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from filmweave.llm import components, decontam, exact, licenses, mixing, quality, queries, sharding, simhash, templates, toxicity, warc
+from filmweave.llm import components, decontam, exact, licenses, mixing, quality, queries, sharding, simhash, similar, templates, toxicity, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _row int, size int, key string, digest string, fp string"
 
@@ -305,3 +305,32 @@ def test_template_tokens(spark):
 def test_native_plans_have_no_python(spark, name):
     text = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not [w for w in ("EvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "Cross") if w in text]
+
+
+def test_near_copies_at_the_bound_go(spark, odd):
+    import corpus_pipeline
+
+    words = random.Random(8)
+    pool = [f"w{i}" for i in range(3000)]
+    rows, pairs = [], []
+    for i in range(0, 200, 2):
+        text = words.choices(pool, k=words.randint(60, 400))
+        copy = list(text)
+        for at in words.sample(range(len(copy)), max(1, len(copy) // 60)):
+            copy[at] = "changed"
+        rows += [(i, " ".join(text), "s"), (i + 1, " ".join(copy).upper(), "s")]
+        pairs.append((text, copy))
+    base = words.choices(pool, k=300)  # a large bucket: near copies of one text, most of them near each other
+    for i in range(60):
+        copy = list(base)
+        copy[words.randrange(300)] = "other"
+        rows.append((1000 + i, " ".join(copy), "s"))
+    sets = [[{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in pair] for pair in pairs]
+    near = [len(a & b) >= 0.8 * len(a | b) for a, b in sets]
+    assert 50 <= sum(near)
+    kept = corpus_pipeline.without_near_duplicates(spark, docs_of(spark, rows), "")
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert ids == {2 * i for i in range(100)} | {2 * i + 1 for i in range(100) if not near[i]} | {1000}
+    left = similar.keep_first(odd)
+    assert left.columns == odd.columns and similar.keep_first(odd.limit(0)).count() == 0
+    assert {r["doc_id"] for r in left.collect()} == {*range(60), 100, 103, None}  # no other text is like that without an id
