@@ -1,22 +1,25 @@
 """Benchmark decontamination: edit distance by CGK embedding, bit-sampling LSH, exact verification.
 
-A document leaks an item of ``n`` words if some window of ``n`` words has word edit distance of at most a fifth of
-``n`` to it (similarity 0.8). Words are lower-cased and stripped of punctuation at their ends.
+A document leaks an item of ``n`` words if some part of it has word edit distance ``k`` of at most a fifth of ``n`` to
+it (similarity 0.8). The part has ``n - k`` to ``n + k`` words; a document may be shorter than the item. Words are
+lower-cased and stripped of punctuation at their ends.
 
-Search, for each item length ``n`` of the benchmark, over every window of ``n`` words of every text:
+Search, for each item length ``n`` of the benchmark, over the windows at every word of every text, of ``n + k`` words or
+up to the text's end:
 
-1. A window within ``k`` edits shares at least ``n - 1 - 2k`` neighbouring word pairs with the item. Windows with fewer
+1. A part within ``k`` edits shares at least ``n - 1 - 2k`` neighbouring word pairs with the item. Windows with fewer
    pairs out of all items of that length can match none of them and aren't embedded; this loses no match.
 2. The CGK walk embeds a window: a random bit per step and word says whether the walk moves on. Edits become few
    differing steps. ``WALKS`` walks, each with ``TABLES`` samples of ``SAMPLED`` steps, give the keys; a window and an
    item with any key in common are a candidate. The numbers are set so that pairs at the very bound are found with
-   probability above 0.95, nearer ones almost surely.
-3. Candidates are verified by exact edit distance.
+   probability above 0.98, whether words are changed, left out or put in; nearer ones almost surely.
+3. Candidates are verified by exact edit distance to the nearest beginning of the window.
 
 The benchmark is the stated query set: it is taken in blocks of bounded size, and each block passes over all
 documents. Documents are never shuffled; hits are (document, item) rows.
 
-Defined cases: NULL and empty texts leak nothing; NULL, empty or punctuation-only items match nothing; items shorter
+Defined cases: NULL and empty texts leak nothing; items without an id are searched as well and each is reported
+under a NULL id; NULL, empty or punctuation-only items match nothing; items shorter
 than ``LEAST_WORDS`` words are matched whole and exactly (edits of a few words mean nothing); repeated items count
 each; repeated documents are reported each; extra columns are ignored or kept.
 """
@@ -36,7 +39,7 @@ from .common import SLICE_BYTES, slices, text_or_empty, word_codes
 
 EDITS = 0.2  # of an item's words
 LEAST_WORDS = 8
-WALKS, TABLES, SAMPLED = 4, 6, 2
+WALKS, TABLES, SAMPLED = 6, 6, 1
 BLOCK_WORDS = 200_000  # words of the benchmark in one pass
 SEED = 99
 _MARKS = string.punctuation + "\u00a1\u00a7\u00ab\u00b6\u00b7\u00bb\u00bf\u2010\u2011\u2012\u2013\u2014\u2018\u2019\u201a\u201c\u201d\u201e\u2022\u2026\u3001\u3002"
@@ -82,14 +85,18 @@ def embed(windows: np.ndarray, sizes: np.ndarray, walk: int) -> np.ndarray:
     return out
 
 
-def keys(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """LSH keys: for each window one key per walk and table, from steps sampled over twice its own length."""
+def keys(windows: np.ndarray, sizes: np.ndarray, filled: np.ndarray | None = None) -> np.ndarray:
+    """LSH keys: for each window one key per walk and table, from steps sampled over twice the item's length.
+
+    ``sizes`` are the items' lengths, ``filled`` the words the windows have, if those aren't as many.
+    """
     count = len(windows)
+    filled = sizes if filled is None else filled
     rows = np.arange(count)
     out = np.empty((count, WALKS * TABLES), np.uint64)
     sampled = np.random.default_rng(SEED).random((WALKS, TABLES, SAMPLED))
     for walk in range(WALKS):
-        walked = embed(windows, sizes, walk)
+        walked = embed(windows, filled, walk)
         for table in range(TABLES):
             key = _hash_of(sizes, walk * TABLES + table)
             for share in sampled[walk, table]:
@@ -98,23 +105,29 @@ def keys(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def edit_distances(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Edit distance of each row of ``a`` to that of ``b`` (equal lengths, equal filling), ``most + 1`` if it is more."""
-    count, width = a.shape
+def edit_distances(items: np.ndarray, sizes: np.ndarray, windows: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Edit distance of each item to the nearest beginning of its window, ``most + 1`` if it is more.
+
+    Items have ``sizes`` words; both are filled up with numbers that no word of the other has.
+    """
+    count, width = windows.shape
     out = most + 1
     live = np.arange(count)
     steps = np.arange(width + 1)
     row = np.broadcast_to(steps, (count, width + 1))
-    for i in range(width):
+    for i in range(sizes.max(initial=0)):
         new = np.empty((len(live), width + 1), np.int64)
         new[:, 0] = i + 1
-        new[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (b[live] != a[live, i][:, None]))
+        new[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (windows[live] != items[live, i][:, None]))
         row = np.minimum.accumulate(new - steps, axis=1) + steps  # insertions
-        near = row.min(axis=1) <= most[live]
+        least = row.min(axis=1)
+        near = least <= most[live]
+        whole = near & (sizes[live] == i + 1)
+        out[live[whole]] = least[whole]
+        near &= ~whole
         live, row = live[near], row[near]
         if not len(live):
-            return out
-    out[live] = np.minimum(row[:, -1], out[live])
+            break
     return out
 
 
@@ -125,14 +138,14 @@ class Block:
     vocabulary: pa.Array
     pairs: np.ndarray
     pairs_by_length: dict[int, np.ndarray]
-    ids: np.ndarray
+    ids: list[int | None]
     rows: np.ndarray
     sizes: np.ndarray
     sorted_keys: np.ndarray
     owners: np.ndarray
 
 
-def prepare(items: list[tuple[int, str | None]]) -> Block:
+def prepare(items: list[tuple[int | None, str | None]]) -> Block:
     words = [(item, item_words(text)) for item, text in items]
     words = [(item, w) for item, w in words if w]
     vocabulary = {w: i for i, w in enumerate(sorted({x for _, w in words for x in w}))}
@@ -149,7 +162,7 @@ def prepare(items: list[tuple[int, str | None]]) -> Block:
     flat = keys(rows, sizes).ravel()
     order = np.argsort(flat, kind="stable")
     pairs = np.unique(np.concatenate(list(by_length.values()))) if by_length else np.empty(0, np.int64)
-    ids = np.array([item for item, _ in words], np.int64)
+    ids = [item for item, _ in words]
     return Block(pa.array(list(vocabulary), pa.large_string()), pairs, by_length, ids, rows, sizes, flat[order], order // (WALKS * TABLES))
 
 
@@ -160,7 +173,7 @@ def _within(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _starts(hits: np.ndarray, n: int, least: int) -> np.ndarray:
-    """Starts of windows of ``n`` words with at least ``least`` of the places ``hits`` (in order) among their pairs."""
+    """Starts, from the first word on, of windows of ``n`` words with at least ``least`` of the places ``hits`` (in order) among their pairs."""
     least = max(least, 1)
     span = max(n - 1, 1)
     if len(hits) < least:
@@ -190,15 +203,16 @@ def find(texts: pa.Array, block: Block) -> list[list[dict]]:
     own = _within(pair, block.pairs)
     both, pair = both[own], pair[own]
     ends = starts[1:]
+    lasts = np.repeat(ends, np.diff(starts))  # for each word the end of its text
 
     found, sizes = [], []
     for n, table in block.pairs_by_length.items():
         if n > 1:
-            some = _starts(both[_within(pair, table)], n, n - 1 - 2 * allowed(n))
+            some = _starts(both[_within(pair, table)], n + allowed(n), n - 1 - 2 * allowed(n))
         else:
             some = np.flatnonzero(_within(-1 - words, table) & (words >= 0))
-        some = some[some + n <= len(words)]
-        some = some[np.searchsorted(ends, some, side="right") == np.searchsorted(ends, some + n - 1, side="right")]
+        some = some[some < len(words)]
+        some = some[lasts[some] - some >= n - allowed(n)]
         found.append(some)
         sizes.append(np.full(len(some), n))
     found, sizes = np.concatenate(found or [np.empty(0, np.int64)]), np.concatenate(sizes or [np.empty(0, np.int64)])
@@ -206,9 +220,13 @@ def find(texts: pa.Array, block: Block) -> list[list[dict]]:
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for part in range(0, len(found), 8192):
         begin, n = found[part : part + 8192], sizes[part : part + 8192]
-        columns = np.arange(n.max())  # lengths are in order, so most batches are narrow
-        windows = np.where(columns < n[:, None], words[np.minimum(begin[:, None] + columns, len(words) - 1)], -2)
-        mine = keys(windows, n)
+        most = np.array([allowed(x) for x in range(n.max() + 1)], np.int64)[n]
+        columns = np.arange((n + most).max())  # lengths are in order, so most batches are narrow
+        room = np.minimum(n + most, lasts[begin] - begin)
+        windows = np.where(columns < room[:, None], words[np.minimum(begin[:, None] + columns, len(words) - 1)], -4)
+        filled = np.minimum(n, room)
+        columns = columns[: n.max()]
+        mine = keys(np.where(columns < filled[:, None], windows[:, : len(columns)], -2), n, filled)
         low = np.searchsorted(block.sorted_keys, mine, side="left")
         many = (np.searchsorted(block.sorted_keys, mine, side="right") - low).ravel()
         window = np.repeat(np.repeat(np.arange(len(begin)), mine.shape[1]), many)
@@ -219,15 +237,15 @@ def find(texts: pa.Array, block: Block) -> list[list[dict]]:
             w, i = some // len(block.ids), some % len(block.ids)
             same = block.sizes[i] == n[w]
             w, i = w[same], i[same]
-            most = np.array([allowed(x) for x in n[w]], np.int64)
-            edits = edit_distances(windows[w], block.rows[i, : windows.shape[1]], most)
-            for at in np.flatnonzero(edits <= most):
+            edits = edit_distances(block.rows[i], block.sizes[i], windows[w], most[w])
+            for at in np.flatnonzero(edits <= most[w]):
                 text = int(np.searchsorted(ends, begin[w[at]], side="right"))
-                key, value = (text, int(block.ids[i[at]])), (int(edits[at]), int(begin[w[at]] - starts[text]))
+                own = block.ids[i[at]]
+                key, value = (text, own is None, int(i[at]) if own is None else own), (int(edits[at]), int(begin[w[at]] - starts[text]))
                 best[key] = min(best.get(key, value), value)
     out: list[list[dict]] = [[] for _ in range(len(texts))]
-    for (text, item), (edits, position) in sorted(best.items()):
-        out[text].append({"item_id": item, "word": position, "edits": edits})
+    for (text, no_id, item), (edits, position) in sorted(best.items()):
+        out[text].append({"item_id": None if no_id else item, "word": position, "edits": edits})
     return out
 
 
@@ -243,7 +261,7 @@ def _finder(block: Block):
 
 def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[Block]:
     """The benchmark in blocks of about ``block_words`` words, one at a time on the driver."""
-    items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), text_or_empty(F.col("text")).alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long"), text_or_empty(F.col("text")).alias("text"))
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     count = -(-total // block_words)
     for block in range(count):

@@ -334,3 +334,35 @@ def test_near_copies_at_the_bound_go(spark, odd):
     left = similar.keep_first(odd)
     assert left.columns == odd.columns and similar.keep_first(odd.limit(0)).count() == 0
     assert {r["doc_id"] for r in left.collect()} == {*range(60), 100, 103, None}  # no other text is like that without an id
+
+
+def test_decontamination_with_insertions_deletions_and_short_documents(spark):
+    words = random.Random(16)
+    pool = [f"w{i}" for i in range(300)]
+    items = [(i if i else None, " ".join(words.choices(pool, k=words.randint(20, 60)))) for i in range(30)]
+    rows, planted = [], set()
+    for i in range(300):
+        item, leak = items[i % 30][0], items[i % 30][1].split()
+        kind = i // 30 % 5  # deletions, insertions, both, the same alone as a document, the ends cut off a document
+        for j in range(words.randint(1, decontam.allowed(len(leak)))):
+            if kind == 4:
+                leak = leak[1:] if i % 2 else leak[:-1]
+            elif kind == 0 or (kind > 1 and j % 2):
+                leak.pop(words.randrange(len(leak)))
+            else:
+                leak.insert(words.randrange(len(leak)), "new")
+        text = leak if kind > 2 else [*words.choices(pool, k=40), *leak, *words.choices(pool, k=40)]
+        rows.append((i, " ".join(text), "s"))
+        planted.add((i, item))
+    rows += [(400 + i, " ".join(words.choices(pool, k=30)), "s") for i in range(50)]
+    documents, benchmark = docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontam.leaks(documents, benchmark).collect()}
+    assert set(found) <= planted and len(found) >= 0.97 * len(planted)
+    for (doc, item), edits in list(found.items())[:60]:
+        have, want = rows[doc][1].split(), dict(items)[item].split()
+        k = decontam.allowed(len(want))
+        parts = (have[s : s + n] for s in range(len(have)) for n in range(len(want) - k, len(want) + k + 1))
+        assert edits == min(brute_edits(want, part) for part in parts if len(part) >= len(want) - k)
+    passage = " ".join(items[3][1].split()[:-1])
+    assert [r["item_id"] for r in decontam.leaks(docs_of(spark, [(1, passage, "s")]), benchmark).collect()] == [3]
+    assert {r["doc_id"] for r in decontam.without_leaks(documents, benchmark).collect()} == {r[0] for r in rows} - {d for d, _ in found}
