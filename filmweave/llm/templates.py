@@ -1,10 +1,18 @@
 """Line dedup by a log-template tree.
 
 A line falls through a tree of fixed depth: its token count, then its first ``DEPTH`` tokens, tokens with digits
-standing as a wildcard. Within a leaf a token is fixed at its place if enough documents of the leaf have it there;
-other places are variable fields and become wildcards. Leaf and fixed tokens are the line's template. A template
-recurs if lines of it stand in at least ``LEAST_DOCUMENTS`` documents and at most a quarter of its places are
-variable; all its lines are dropped. The outcome depends on counts alone, not on the order of the lines.
+standing as a wildcard. A line is dropped, with all others like it, in any of three cases:
+
+- its exact text stands in ``LEAST_DOCUMENTS`` documents, or in two if it has ``LONG`` tokens;
+- lines that differ from it in tokens with digits alone stand in as many, ``LONG`` counting tokens without digits;
+- its template recurs: within the leaf a token is fixed at its place if enough documents of the leaf have it there, other
+  places are variable fields. Leaf and fixed tokens are the template, and it recurs if its lines stand in
+  ``LEAST_DOCUMENTS`` documents. At most a quarter of the places without digits are variable.
+
+How many documents are enough depends on the template: a field's values recur too where there are many documents, but
+less than the words around them. So the bar goes up a ladder, ``LEAST_DOCUMENTS`` times powers of ``STEP``, and a line is
+dropped if its template recurs at any rung. In the second and third case at least two tokens, or half of all, are
+fixed. The outcome depends on counts alone, not on the order of the lines.
 
 Only hashes of lines are shuffled until leaves that few documents reach are gone. Counts combine before the shuffle,
 so a line that a third of all documents share is one row per task; where rows of such a line are joined, both sides
@@ -25,7 +33,9 @@ from .common import text_or_empty
 
 DEPTH = 3
 LEAST_DOCUMENTS = 5
-VARIABLE = 0.25  # most of a template's places
+LONG = 20  # tokens of a line that no two documents have by chance
+STEP = 2  # from one rung to the next
+VARIABLE = 0.25  # most of a template's places without digits
 WILDCARD = "<*>"
 
 
@@ -49,22 +59,47 @@ def _lines(text: Column) -> Column:
     return F.split(text_or_empty(text), "\n")
 
 
+def raw_id(line: Column) -> Column:
+    """A number for a line as it is."""
+    return F.xxhash64(F.lit(2), line)
+
+
+def _enough(literal: Column, size: Column) -> Column:
+    """Whether so many literal tokens tell a template."""
+    return (literal >= 2) | (2 * literal >= size)
+
+
 def _ids(text: Column) -> Column:
-    """Leaf and line of each line that isn't blank, each pair once."""
-    each = F.transform(_lines(text), tokens)
-    each = F.filter(each, lambda t: F.size(t) > 0)
-    return F.array_distinct(F.transform(each, lambda t: F.struct(leaf_id(t).alias("leaf"), line_id(t).alias("line"))))
+    """Leaf and line of each line that isn't blank, each once; the exact text only of lines with digits.
+
+    ``kind`` has the bits 1: enough literal tokens, 2: ``LONG`` literal tokens, 4: ``LONG`` tokens.
+    """
+    each = F.transform(_lines(text), lambda line: F.struct(tokens(line).alias("t"), line.alias("body")))
+    each = F.filter(each, lambda x: F.size(x["t"]) > 0)
+
+    def one(x: Column) -> Column:
+        size, digits = F.size(x["t"]), F.array_contains(x["t"], WILDCARD)
+        literal = F.size(F.filter(x["t"], lambda t: t != WILDCARD))
+        bits = _enough(literal, size).cast("int") + 2 * (literal >= LONG).cast("int") + 4 * (size >= LONG).cast("int")
+        kind = F.when(digits, bits).otherwise(F.when(size >= LONG, 7).otherwise(1))
+        return F.struct(leaf_id(x["t"]).alias("leaf"), line_id(x["t"]).alias("line"), F.when(digits, raw_id(x["body"])).alias("raw"), kind.alias("kind"))
+
+    return F.array_distinct(F.transform(each, one))
 
 
 def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable: float = VARIABLE) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, body, leaf, line`` of all lines, and ``leaf, line, template`` of those to drop. Runs jobs; both are staged.
+    """``doc_id, body, leaf, line, raw, kind`` of all lines, and ``leaf, line`` of those to drop. Runs jobs; both are staged.
 
     ``body`` is a hash of the text, so that rows that share an id are told apart.
     """
     text = F.col("text")
     rows = documents.select("doc_id", F.xxhash64(text).alias("body"), F.inline(_ids(text))).distinct()
     rows = stage(rows, "lines")
-    counts = stage(rows.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n")), "line-counts")
+    # A document may have lines that differ in digits alone; it counts once.
+    once = rows.where("raw IS NULL").select("doc_id", "body", "leaf", "line", "kind")
+    once = once.unionByName(rows.where("raw IS NOT NULL").select("doc_id", "body", "leaf", "line", "kind").distinct())
+    counts = stage(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind")), "line-counts")
+    alike = counts.where(_bit(1) & ((F.col("n") >= least) | (_bit(2) & (F.col("n") >= 2)))).select("leaf", "line")
     leaves = counts.groupBy("leaf").agg(F.sum("n").alias("documents")).where(F.col("documents") >= least)
     likely = stage(counts.join(stage(leaves.select("leaf"), "leaves"), "leaf", "left_semi"), "likely-lines")
 
@@ -76,29 +111,51 @@ def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable
     places = whole.join(likely, ["leaf", "line"]).select("leaf", "line", "n", F.posexplode("tokens").alias("place", "token"))
     places = stage(places, "places")
     fixed = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("documents")).where(F.col("documents") >= least)
-    fixed = stage(fixed.select("leaf", "place", "token", F.lit(True).alias("fixed")), "fixed")
+    rung = F.floor(F.log(float(STEP), F.col("documents") / F.lit(least)) + 1e-9).cast("int")
+    fixed = stage(fixed.select("leaf", "place", "token", rung.alias("rung")), "fixed")
     marked = places.join(fixed, ["leaf", "place", "token"], "left")
-    kept = F.when(F.col("fixed") & (F.col("token") != WILDCARD), F.struct("place", "token"))
-    template = marked.groupBy("leaf", "line").agg(
-        F.xxhash64(F.array_sort(F.collect_list(kept))).alias("template"), F.count(kept).alias("literal"), F.count(F.lit(1)).alias("size")
+    # Each place with the rungs up to which its token is fixed, wildcards with none.
+    rung = F.when(F.col("token") == WILDCARD, -1).otherwise(F.coalesce("rung", F.lit(-1)))
+    marked = marked.select("leaf", "line", "place", "token", rung.alias("rung"))
+    lines = marked.groupBy("leaf", "line").agg(
+        F.sort_array(F.collect_list(F.when(F.col("rung") >= 0, F.struct("place", "token", "rung")))).alias("kept"),
+        F.count(F.when(F.col("token") != WILDCARD, 1)).alias("words"), F.count(F.lit(1)).alias("size"),
     )
-    template = template.where(F.col("literal") >= (1 - variable) * F.col("size")).select("leaf", "line", "template")
-    template = stage(template, "templates")
-    in_documents = rows.join(template, ["leaf", "line"]).select("leaf", "template", "doc_id", "body").distinct()
+    rungs = F.array_distinct(F.transform("kept", lambda x: x["rung"]))
+    lines = lines.withColumn("at", F.explode(F.when(F.size(rungs) > 0, F.sequence(F.lit(0), F.array_max(rungs))).otherwise(F.array().cast("array<int>"))))
+    lines = lines.withColumn("kept", F.filter("kept", lambda x: x["rung"] >= F.col("at")))
+    literal = F.size("kept")
+    lines = lines.where((literal >= (1 - variable) * F.col("words")) & _enough(literal, F.col("size")))
+    own = F.xxhash64("at", F.transform("kept", lambda x: F.struct(x["place"], x["token"])))
+    template = stage(lines.select("leaf", "line", own.alias("template")), "templates")
+    in_documents = rows.select("leaf", "line", "doc_id", "body").join(template, ["leaf", "line"]).select("leaf", "template", "doc_id", "body").distinct()
     often = in_documents.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= least)
     often = stage(often.select("leaf", "template"), "recurring")
-    return rows, stage(template.join(often, ["leaf", "template"], "left_semi").select("leaf", "line", "template"), "dropped")
+    found = template.join(often, ["leaf", "template"], "left_semi").select("leaf", "line").unionByName(alike)
+    return rows, stage(found.distinct(), "dropped")
+
+
+def _bit(value: int) -> Column:
+    return F.col("kind").bitwiseAND(F.lit(value)) > 0
+
+
+def recurring_texts(rows: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
+    """``raw`` of lines with digits that stand in enough documents word for word. Runs jobs."""
+    counts = rows.where("raw IS NOT NULL").groupBy("raw").agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind"))
+    return stage(counts.where((F.col("n") >= least) | (_bit(4) & (F.col("n") >= 2))).select("raw"), "exact-lines")
 
 
 def drop_recurring(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable: float = VARIABLE) -> DataFrame:
     """``documents`` without the lines of recurring templates, and ``lines_dropped``. Runs jobs."""
     rows, dropped = recurring_lines(documents, least, variable)
-    gone = rows.join(dropped, ["leaf", "line"]).groupBy("doc_id", "body").agg(F.collect_set("line").alias("_gone"))
+    gone = rows.join(dropped, ["leaf", "line"]).select("doc_id", "body", F.col("line").alias("gone"))
+    exact = rows.where("raw IS NOT NULL").join(recurring_texts(rows, least), "raw").select("doc_id", "body", F.col("raw").alias("gone"))
+    gone = gone.unionByName(exact).groupBy("doc_id", "body").agg(F.collect_set("gone").alias("_gone"))
     gone = stage(gone.withColumnRenamed("doc_id", "_id").withColumnRenamed("body", "_body"), "dropped-lines")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
     joined = documents.join(gone.hint("merge"), same, "left")
     lines = _lines(F.col("text"))
-    left = F.filter(lines, lambda line: ~F.array_contains("_gone", line_id(tokens(line))))
+    left = F.filter(lines, lambda line: ~(F.array_contains("_gone", line_id(tokens(line))) | F.array_contains("_gone", raw_id(line))))
     columns = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
     cut = joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), left))
     return cut.select(

@@ -366,3 +366,31 @@ def test_decontamination_with_insertions_deletions_and_short_documents(spark):
     passage = " ".join(items[3][1].split()[:-1])
     assert [r["item_id"] for r in decontam.leaks(docs_of(spark, [(1, passage, "s")]), benchmark).collect()] == [3]
     assert {r["doc_id"] for r in decontam.without_leaks(documents, benchmark).collect()} == {r[0] for r in rows} - {d for d, _ in found}
+
+
+def left_of(spark, texts):
+    """Lines that stay of documents of these texts."""
+    documents = docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    return {r["doc_id"]: r["text"] for r in templates.drop_recurring(documents).collect()}
+
+
+def test_long_lines_recur_from_two_documents_on(spark):
+    passage = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(55))
+    short = "a short line of seven words only"
+    out = left_of(spark, [f"own one\n{passage}\n{short}", f"other two\n{passage}\n{short}", f"{passage} more"])
+    assert out == {0: f"own one\n{short}", 1: f"other two\n{short}", 2: f"{passage} more"}
+
+
+@pytest.mark.parametrize("count", [40, 4000])
+def test_fields_of_words_stay_fields_at_every_size(spark, count):
+    name = lambda i: "".join("abcdefghij"[int(d)] for d in str(i))
+    lines = [f"Report sent to the office by N{name(i % 50)} from C{name(i * 7 % 53)} this morning early today" for i in range(count)]
+    out = left_of(spark, [f"own {name(i)}\n{line}" for i, line in enumerate(lines)])
+    assert out == {i: f"own {name(i)}" for i in range(count)}
+
+
+def test_lines_of_digits_recur(spark):
+    same = ["Page 3 of 10", "12 May 2020 10:33 Posted", "10 20 30"]
+    out = left_of(spark, ["\n".join([*same, f"Page {i} of {i + 7}", f"{i} {i} {i} alone"]) for i in range(6)])
+    assert out == {i: f"{i} {i} {i} alone" for i in range(6)}
+    assert left_of(spark, same * 4) == {i: same[i % 3] for i in range(12)}
