@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filmweave.llm import decontam, mixing, quality, sharding, similar
+from filmweave.llm import decontam, mixing, quality, sharding, simhash
 from filmweave.llm.common import table
 from filmweave.session import stage
 
@@ -19,8 +19,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates, that with the smallest id."""
-    return similar.keep_first(docs)
+    """One document of each component of near-duplicates by fingerprint, that with the smallest id."""
+    return simhash.keep_first(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
