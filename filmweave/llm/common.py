@@ -23,6 +23,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, ``whole``: what an operator adds beside it can't clash with their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole")
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

@@ -3,11 +3,12 @@
 The index is a Parquet table of ``digest, keep_id, batch``, bucketed and sorted by digest, with one row for each
 distinct text ever seen. A batch is first cut to one row per digest (an aggregate, so a text that a third of all rows
 share is one row per task before the shuffle), then anti-joined with the index by a sort-merge join that reads the
-buckets as they lie, and what is new is appended. The index is append-only: a lost write leaves no half batch, since
-Spark commits a batch's files together.
+buckets as they lie, and what is new is appended. The index is append-only: what a failed write left is found again when
+its batch is added again.
 
 Texts are equal when identical after lower-casing A-Z. Of equal texts within a batch the row with the largest id
-stays; a text that an earlier batch brought stays with that batch's row.
+stays; a text that an earlier batch brought stays with that batch's row. A batch that is added again, say after its job
+failed behind the append, gets the same answers and adds nothing.
 
 Defined cases: NULL counts as empty, so NULL and empty texts are one group; a NULL id stays only if its group has no
 other; of rows with the same id and text all are reported as kept; extra columns are not read.
@@ -15,6 +16,8 @@ other; of rows with the same id and text all are reported as kept; extra columns
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +42,9 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
         self.spark, self.path, self.buckets = spark, path, buckets
-        self.name = "digests_" + str(abs(hash(path)))
-        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self.name = "digests_" + hashlib.sha256(path.encode()).hexdigest()[:32]
         spark.sql(
-            f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) "
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) "
             f"INTO {buckets} BUCKETS LOCATION '{path}'"
         )
 
@@ -74,13 +76,9 @@ class DigestIndex:
         # Rows that stand alone and are new need no look-up. For the others both sides are shuffled plainly, so that
         # AQE can split the rows of a frequent text.
         fresh = fresh.select("digest", F.lit(True).alias("_new"))
-        seen = groups.join(fresh, "digest", "left").where("_new IS NULL OR group_size > 1")
-        earlier = self.table().where(F.col("batch") < batch).select("digest", F.col("keep_id").alias("_earlier"))
-        seen = seen.join(earlier, "digest", "left").select(
-            "digest", F.when(F.col("_new"), F.col("keep_id")).otherwise(F.col("_earlier")).alias("keep_id"), "group_size",
-            F.coalesce("_new", F.lit(False)).alias("_new"),
-        )
-        seen = stage(seen, "seen")
+        seen = groups.join(fresh, "digest", "left").where("_new IS NULL OR group_size > 1").select("digest", "group_size")
+        held = self.table().where(F.col("batch") <= batch)
+        seen = stage(seen.join(held, "digest").select("digest", "keep_id", "group_size", (F.col("batch") == batch).alias("_now")), "seen")
         found = rows.join(seen.withColumn("_hit", F.lit(True)), "digest", "left")
         keep_id = F.when(F.col("_hit"), F.col("keep_id")).otherwise(F.col("doc_id"))
         return found.select(
@@ -88,7 +86,7 @@ class DigestIndex:
             "digest",
             keep_id.alias("keep_id"),
             F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-            (keep_id.eqNullSafe(F.col("doc_id")) & F.coalesce("_new", F.lit(True))).alias("kept"),
+            (keep_id.eqNullSafe(F.col("doc_id")) & F.coalesce("_now", F.lit(True))).alias("kept"),
         )
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .common import whole_row
 
 WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 MOST = 3  # times a source's size
@@ -129,6 +130,6 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix itself: each document as often as it is taken, columns as they were."""
-    taken = mix(documents, weights, most)
-    again = taken.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return again.select(*[F.col(f"`{c}`") for c in documents.columns])
+    taken = mix(documents.select(whole_row(documents), "doc_id", "source", "text"), weights, most, ["whole"])
+    again = taken.where("_times > 0").select("whole", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return again.select("whole.*")

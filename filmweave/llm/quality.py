@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_slices, held_out, lowest_hash, per_text, word_codes
@@ -169,13 +169,18 @@ def _features_of(texts: pa.Array) -> pa.Array:
     return by_slices(lambda part: list(features(part)), texts, pa.list_(pa.float64()))
 
 
-def score(documents: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
-    """``documents`` with a score between 0 and 1; no shuffle, every whole text."""
+def score_of(text: Column, model: QualityModel) -> Column:
+    """A score between 0 and 1 for every whole text."""
 
     def run(texts: pa.Array) -> pa.Array:
         return by_slices(lambda part: model.score(features(part)), texts, pa.float64())
 
-    return documents.withColumn(out, F.arrow_udf(run, "double").asNondeterministic()(F.col(text)))
+    return F.arrow_udf(run, "double").asNondeterministic()(text)
+
+
+def score(documents: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
+    """``documents`` with :func:`score_of` the text; no shuffle."""
+    return documents.withColumn(out, score_of(F.col(text), model))
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -188,5 +193,4 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``documents`` that are predicted good, columns as they were."""
-    scored = score(documents, train(documents, labels), out="_quality")
-    return scored.where(F.col("_quality") >= THRESHOLD).drop("_quality")
+    return documents.where(score_of(F.col("text"), train(documents, labels)) >= THRESHOLD)

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import text_or_empty
+from .common import text_or_empty, whole_row
 
 SHARDS = 40
 CELLS = 4096
@@ -68,7 +68,8 @@ def assign(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``documents`` with ``shard`` and ``slot``, columns as they were. Rows are staged once, whole."""
-    rows = stage(documents.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    """``documents`` with ``shard`` and ``slot``, other columns as they were. Rows are staged once, whole."""
+    rows = stage(documents.select(whole_row(documents), "doc_id", "source", F.monotonically_increasing_id().alias("_row")), "rows")
     placed = interleaved(rows.select("_row", "doc_id", "source"), shards).select("_row", "shard", "slot")
-    return rows.join(placed, "_row").select(*[F.col(f"`{c}`") for c in documents.columns], "shard", "slot")
+    kept = [F.col("whole").getField(c).alias(c) for c in documents.columns if c not in ("shard", "slot")]
+    return rows.join(placed, "_row").select(*kept, "shard", "slot")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import by_slices
+from .common import by_slices, whole_row
 from .components import components
 
 SHINGLE = 3
@@ -142,12 +142,13 @@ def keep_first(documents: DataFrame, width: int = SHINGLE) -> DataFrame:
 
     Runs jobs when called. Documents are staged with a row number, so that rows with one id are told apart.
     """
-    rows = documents.withColumn("_row", F.monotonically_increasing_id()).withColumn("_fp", fingerprints(width)(F.col("text")))
+    rows = documents.select(
+        whole_row(documents), "doc_id", F.monotonically_increasing_id().alias("row"), fingerprints(width)(F.col("text")).alias("fp")
+    )
     rows = stage(rows, "rows")
-    prints = rows.select(F.struct("doc_id", "_row").alias("id"), F.col("_fp").alias("fp"))
-    found = with_components(prints)
-    repeats = found.where("id <> component_id").select(F.col("id").getField("_row").alias("_row"))
-    return rows.join(repeats, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    found = with_components(rows.select(F.struct("doc_id", "row").alias("id"), "fp"))
+    repeats = found.where("id <> component_id").select(F.col("id").getField("row").alias("row"))
+    return rows.join(repeats, "row", "left_anti").select("whole.*")
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import text_or_empty
+from .common import text_or_empty, whole_row
 
 DEPTH = 3
 LEAST_DOCUMENTS = 5
@@ -153,10 +153,10 @@ def drop_recurring(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable:
     gone = gone.unionByName(exact).groupBy("doc_id", "body").agg(F.collect_set("gone").alias("_gone"))
     gone = stage(gone.withColumnRenamed("doc_id", "_id").withColumnRenamed("body", "_body"), "dropped-lines")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
-    joined = documents.join(gone.hint("merge"), same, "left")
+    joined = documents.select(whole_row(documents), "doc_id", "text").join(gone.hint("merge"), same, "left")
     lines = _lines(F.col("text"))
     left = F.filter(lines, lambda line: ~(F.array_contains("_gone", line_id(tokens(line))) | F.array_contains("_gone", raw_id(line))))
-    columns = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    columns = [F.col("whole").getField(c).alias(c) for c in documents.columns if c not in ("text", "lines_dropped")]
     cut = joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), left))
     return cut.select(
         *columns,
