@@ -12,11 +12,15 @@ from .pages import literal_pattern, page_text
 from .text import all_matches, bind, first_item, first_match
 
 
+def header_cell(headers: Iterable[str]) -> str:
+    """Pattern of a ``<th>`` that holds exactly one of the headers."""
+    names = "|".join(literal_pattern(h) for h in headers)
+    return rf"(?i:<th\b[^>]*>)(?:<[^>]*>)*+(?:{names})(?:</(?!(?i:th)\b)[^>]*>)*+(?i:</th>)"
+
+
 def header_row(html: Column, headers: Iterable[str]) -> Column:
     """From the first ``<th>`` holding exactly one of the headers to the end of its row; NULL without one."""
-    names = "|".join(literal_pattern(h) for h in headers)
-    head = rf"(?i:<th\b[^>]*>)(?:<[^>]*>)*+(?:{names})(?:</(?!(?i:th)\b)[^>]*>)*+(?i:</th>)"
-    pattern = head + r"[\s\S]*?(?i:</tr>|\z)"
+    pattern = header_cell(headers) + r"[\s\S]*?(?i:</tr>|\z)"
     return F.regexp_substr(html, F.lit(pattern))
 
 

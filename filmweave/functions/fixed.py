@@ -51,6 +51,15 @@ BOX_SHOWN = r"\|[^\]\n]*"
 BOX_YEAR_STRICT = rf"released[{WS}]*=[{WS}]*\{{\{{[^\n}}]*?\|(\p{{Nd}}{{4}})[|}}]"
 BOX_YEAR_DAY = rf"released[{WS}]*=[{WS}]*\p{{Nd}}{{1,2}} [a-zA-Z]+ (\p{{Nd}}{{4}})"
 
+# Templates read by depth: a piece of text with the mark that ends it, and that mark.
+COMMENT = r"<!--[\s\S]*?-->"
+TEMPLATE_PIECE = r"[^{}\[\]|\n]*(?:\{\{|\}\}|\[\[|\]\]|[{}\[\]|\n]|\z)"
+TEMPLATE_MARK = r"(\{\{|\}\}|\[\[|\]\]|[{}\[\]|\n])\z"
+LIST_TEMPLATES = ("plainlist", "plain list", "flatlist", "flat list", "hlist", "ubl", "unbulleted list")
+NUMBERED_ARGUMENT = rf"^[{WS}]*\p{{Nd}}+[{WS}]*="
+ITEM_BREAK = r"(?i)<br */?>|\n[ \t]*\*|;"
+LINK_TARGET = r"\[\[([^\[\]|]*)\|?[^\[\]]*\]\]"
+
 # Title pages.
 DIRECTED = rf"Directed by ([^\n]*?)\.[{WS}]With"
 CREATED = rf"Created by ([^\n]*?)\.[{WS}]With"
@@ -72,6 +81,16 @@ HEADING = r"(?i)<h1\b[^>]*>([\s\S]*?)</h1>"
 # Detail pages of the encyclopedia.
 RELEASE_HEADERS = ("Release dates", "Release", "Release date")
 WRITER_HEADERS = ("Written by", "Story by")
+COMPOSER_HEADERS = ("Music by",)
+CREATOR_HEADERS = ("Created by",)
+DIRECTOR_HEADERS = ("Directed by",)
+# Rows, lists and cells read by depth: a piece of page with the tag that ends it, and that tag.
+ROW_PIECE = r"[\s\S]*?(?i:</?(?:table|tr)\b[^<>]*>|\z)"
+ROW_MARK = r"<(/?(?i:table|tr))\b[^<>]*>\z"
+ITEM_PIECE = r"[\s\S]*?(?i:</?(?:ul|ol|li)\b[^<>]*>|\z)"
+ITEM_MARK = r"<(/?(?i:ul|ol|li))\b[^<>]*>\z"
+CELL_PIECE = r"[\s\S]*?(?i:</?(?:table|td|th)\b[^<>]*>|\z)"
+CELL_MARK = r"<(/?(?i:table|td|th))\b[^<>]*>\z"
 LIST_ITEM = r"(?i)<li\b[^>]*>([\s\S]*?)</li>"
 TABLE_CELL = r"(?i)<td\b[^>]*>([\s\S]*?)</td>"
 LINKED_CELL = (

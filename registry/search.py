@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmweave.functions import fixed
+from filmweave.operators import prefixes, ranked
 from filmweave.operators import search as s
 from filmweave.operators.quality import null_fill
 from filmweave.plans import retrieval
@@ -120,6 +124,22 @@ CHECKS.add(
     f"SELECT * FROM ({_search_sql(DOCUMENT_POSTINGS, ('tion', 'ered'), 'documents')}) h ORDER BY score DESC, doc LIMIT 10",
 )
 
+
+def _topk(query):
+    """The block index of all documents, written, opened and searched."""
+
+    def run(spark, sf_dir):
+        path = staging_path(spark, "blocks")
+        ranked.write_blocks(inputs.table(spark, sf_dir, "documents"), path, "doc_id", DOC_FIELDS, TOPK_BLOCK)
+        return ranked.BlockIndex(spark, path).search(query, fields=DOC_FIELDS)
+
+    return run
+
+
+TOPK_BLOCK = 64  # smaller than by default, so that small tables have many blocks
+CHECKS.add("search_topk", _topk("the tion ered"), CHECKS.oracles["top_hits"])
+CHECKS.add("search_topk_fields", _topk("Src1 tion"), f"SELECT * FROM ({_TWO_TERMS}) h ORDER BY score DESC, doc LIMIT 10")
+
 _GROUPS = {"body": ["text"], "origin": ["source", "lang"]}
 
 
@@ -137,6 +157,32 @@ CHECKS.add(
     _prefix_sql(DOCUMENT_POSTINGS, "src", _GROUPS),
 )
 
+
+
+def _dictionary(find):
+    """The term dictionary of all documents, written and read back."""
+
+    def run(spark, sf_dir):
+        path = staging_path(spark, "dictionary")
+        prefixes.write_dictionary(inputs.table(spark, sf_dir, "documents"), path, DOC_FIELDS)
+        return find(prefixes.read_dictionary(spark, path))
+
+    return run
+
+
+# Short prefixes, which most documents hit, and longer ones.
+_PREFIXES = ("s", "th", "tio", "Src", "src1", "zzz")
+CHECKS.add(
+    "prefix_dictionary",
+    _dictionary(
+        lambda terms: reduce(
+            DataFrame.unionByName,
+            [prefixes.prefix_counts(terms, p, _GROUPS).select(F.lit(p).alias("prefix"), *_GROUPS) for p in _PREFIXES],
+        )
+    ),
+    " UNION ALL ".join(f"SELECT {lit(p)} AS prefix, * FROM ({_prefix_sql(DOCUMENT_POSTINGS, p.lower(), _GROUPS)}) t" for p in _PREFIXES),
+)
+
 # -- the linked table, all six fields; its rows are told apart by their whole content ---------------------
 _TEXT = "array_to_string({}, chr(10))".format
 FILLED_SQL = f"""SELECT DISTINCT title, coalesce(title_wiki, 'not found') AS title_wiki, {_TEXT("director_list")} AS director_list,
@@ -173,6 +219,36 @@ CHECKS.add(
     _film_search(lambda posts, n: _rounded(s.search_missing(posts, n))),
     _search_sql(FILLED_POSTINGS, ("found",), f"({FILLED_SQL}) n"),
 )
+
+
+def _film_topk(spark, sf_dir):
+    path = staging_path(spark, "blocks")
+    ranked.write_blocks(stage(_film_documents(spark, sf_dir), "documents"), path, "id", block=TOPK_BLOCK)
+    return ranked.BlockIndex(spark, path).search("Zoë Bolt 1951")
+
+
+CHECKS.add(
+    "search_topk_films",
+    _film_topk,
+    f"SELECT * FROM ({CHECKS.oracles['search_films']}) h ORDER BY score DESC, doc LIMIT 10",
+)
+
+
+def _film_dictionary(prefix, groups):
+    def run(spark, sf_dir):
+        path = staging_path(spark, "dictionary")
+        prefixes.write_dictionary(_film_documents(spark, sf_dir), path)
+        return prefixes.prefix_counts(prefixes.read_dictionary(spark, path), prefix, groups)
+
+    return run
+
+
+CHECKS.add(
+    "prefix_dictionary_people", _film_dictionary("Bra", s.PEOPLE_GROUPS), _prefix_sql(FILLED_POSTINGS, "bra", s.PEOPLE_GROUPS)
+)
+CHECKS.add(
+    "prefix_dictionary_numbers", _film_dictionary("19", s.NUMBER_GROUPS), _prefix_sql(FILLED_POSTINGS, "19", s.NUMBER_GROUPS)
+)
 CHECKS.add(
     "prefix_search_people",
     _film_search(lambda posts, n: s.prefix_search(posts, "Brand", s.PEOPLE_GROUPS)),
