@@ -1,4 +1,4 @@
-"""The scalar functions for SQL users, as temporary SQL functions.
+"""The functions for SQL users, as temporary SQL functions: scalar ones and ones that give a table.
 
 Spark inlines them into the plan, so a query that calls them has the plan of the Column form.
 """
@@ -89,3 +89,46 @@ def register_functions(spark: SparkSession) -> list[str]:
     for name, (parameters, result, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {result} RETURN {body}")
     return list(FUNCTIONS)
+
+
+_STOPS = "array(" + ", ".join(_text(w) for w in fixed.STOP_WORDS) + ")"
+_TERMS = (
+    f"array_distinct(filter(regexp_extract_all(lower(query), {_pattern(fixed.TOKEN)}, 0),"
+    f" w -> length(w) >= {fixed.MIN_TOKEN} AND NOT array_contains({_STOPS}, w)))"
+)
+
+# name -> (parameters, columns, body); {postings} is the name of a table or view of postings, {doc} the type of its documents.
+TABLE_FUNCTIONS = {
+    "dump_links": ("body STRING", "link STRING", f"SELECT explode(regexp_extract_all(body, {_pattern(fixed.DUMP_LINK)}, 0))"),
+    "query_terms": ("query STRING", "term STRING", f"SELECT explode({_TERMS})"),
+    "prefix_counts": (
+        "prefix STRING, fields ARRAY<STRING>",
+        "docs BIGINT",
+        # A document is one row first, so that a prefix of most documents is counted in parallel.
+        "SELECT count(1) FROM (SELECT doc FROM {postings} WHERE startswith(term, lower(prefix)) AND array_contains(fields, field) GROUP BY doc)",
+    ),
+    "search": (
+        "query STRING, fields ARRAY<STRING>, n_docs BIGINT",
+        "doc {doc}, score DOUBLE",
+        f"""WITH hits AS (SELECT doc, field, term, tf FROM {{postings}} WHERE array_contains({_TERMS}, term) AND array_contains(fields, field)),
+          weights AS (SELECT field, term, ln(n_docs / (count(1) + 1)) + 1 AS idf FROM hits GROUP BY field, term)
+        SELECT doc, sum(tf * idf) FROM hits JOIN weights USING (field, term) GROUP BY doc HAVING count(DISTINCT term) = size({_TERMS})""",
+    ),
+}
+
+
+def register_table_functions(spark: SparkSession, postings: str = "postings") -> list[str]:
+    """Create the table functions in the session; gives their names.
+
+    ``postings`` names a table or view as :func:`.operators.search.postings` makes it. Spark inlines the bodies, so a test on
+    terms or fields with constants is part of the scan's filters::
+
+        SELECT page.id, link FROM page, LATERAL dump_links(page.text)
+        SELECT * FROM search('star trek', array('title'), 1000) ORDER BY score DESC LIMIT 10
+    """
+    doc = spark.table(postings).schema["doc"].dataType.simpleString()
+    for name, (parameters, columns, body) in TABLE_FUNCTIONS.items():
+        body = body.replace("{postings}", postings)
+        columns = columns.replace("{doc}", doc)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE({columns}) RETURN {body}")
+    return list(TABLE_FUNCTIONS)

@@ -1,15 +1,13 @@
-"""The link graph between stored pages and bounded reach in it."""
+"""The link graph between stored pages and bounded reach in it, by walks that can be gone on with."""
 
 from __future__ import annotations
 
-import uuid
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pages
 from ..session import stage, staging_path
+from ..sources.store import BucketedStore
 from .skew import repeat_hot, spread_hot
 
 HUB_DEGREE = 1_000_000  # out-links from which a page counts as a hub
@@ -30,13 +28,69 @@ def link_edges(
     return edges if unique_urls else edges.distinct()
 
 
-def _bucketed(links: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
-    """``links`` as a table in the shared folder, bucketed and sorted by ``keys``, and its name."""
-    spark = links.sparkSession
-    name, buckets = f"edges_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = links.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-    writer.option("path", staging_path(spark, "edges")).saveAsTable(name)
-    return spark.table(name), name
+class Walk:
+    """A breadth-first walk kept in a folder: the edges, laid out by source, and the visited nodes by level.
+
+    Both are stores bucketed by what they are joined on, so a level shuffles its frontier and the nodes it finds, never
+    the edges and never the nodes visited before. A level is a batch of the visited store: it is committed whole, so a walk that
+    stops, or fails within a level, goes on with the next one, in this session or a later one.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, kind: str = "STRING") -> None:
+        """``kind`` is the type of a node; ``buckets`` counts for a new walk, by default the session's shuffle partitions."""
+        self.spark, self.path, self.kind, self._hubs = spark, path, kind, None
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.edges = BucketedStore(spark, f"{path}/edges", f"_src {kind}, _salt INT, _dst {kind}", ["_src", "_salt"], buckets)
+        self.visited = BucketedStore(spark, f"{path}/visited", f"_node {kind}", "_node", buckets)
+
+    def start(
+        self, edges: DataFrame, seeds: DataFrame, src: str = "src_url", dst: str = "dst_url", node: str = "url", hub_degree: int = HUB_DEGREE
+    ) -> Walk:
+        """Lay out the edges and take the seeds as level 0; what an earlier start has committed stays.
+
+        Links are staged and degrees counted first, combined before their shuffle. So the out-links of a hub are salted by target before
+        they are laid out, and no task gets all of them.
+        """
+        if not self.edges.batches():
+            links = edges.select(F.col(src).alias("_src"), F.col(dst).alias("_dst")).filter("_src <> _dst")
+            links = stage(links, "links")
+            degrees = links.groupBy("_src").agg(F.count(F.lit(1)).alias("_degree"))
+            degrees.filter(F.col("_degree") >= hub_degree).select("_src").write.mode("overwrite").parquet(f"{self.path}/hubs")
+            self._hubs = None
+            hubs = self.hubs()
+            salted = links.withColumn("_salt", F.lit(0)) if hubs is None else spread_hot(links, hubs, "_src", "_dst")
+            self.edges.append(salted, 0)
+        if not self.visited.batches():
+            self.visited.append(seeds.select(F.col(node).alias("_node")).filter("_node IS NOT NULL").distinct(), 0)
+        return self
+
+    def hubs(self) -> DataFrame | None:
+        """The hubs, if there are any."""
+        if self._hubs is None:
+            hubs = self.spark.read.schema(f"_src {self.kind}").parquet(f"{self.path}/hubs")
+            self._hubs = (None if hubs.isEmpty() else hubs,)
+        return self._hubs[0]
+
+    def found(self, level: int) -> DataFrame:
+        """Nodes that a level leads to and no level up to it holds."""
+        start = self.visited.table().filter(F.col("batch") == level).select(F.col("_node").alias("_src"))
+        hubs = self.hubs()
+        start = start.withColumn("_salt", F.lit(0)) if hubs is None else repeat_hot(start, hubs, "_src")
+        links = self.edges.table().join(start, ["_src", "_salt"], "left_semi")
+        return self.visited.unseen(links.select(F.col("_dst").alias("_node")).filter("_node IS NOT NULL").distinct(), level + 1)
+
+    def extend(self, levels: int) -> Walk:
+        """Walk up to so many levels more, until one finds nothing new."""
+        done = self.visited.batches()
+        for level in range(max(done), max(done) + levels):
+            if not done[level]:
+                break
+            done[level + 1] = self.visited.append(self.found(level), level + 1)
+        return self
+
+    def reached(self, node: str = "url") -> DataFrame:
+        """Visited nodes and their least ``depth``."""
+        return self.visited.table().select(F.col("_node").alias(node), F.col("batch").cast("int").alias("depth"))
 
 
 def reach(
@@ -48,42 +102,9 @@ def reach(
     node: str = "url",
     hub_degree: int = HUB_DEGREE,
 ) -> DataFrame:
-    """Nodes within ``max_depth`` links of a seed, with their least depth. Runs jobs when called.
-
-    One join per level. The edges are laid out by source once, as a bucketed table, so that a level shuffles its
-    frontier at most and never the edges. Out-links of a hub are salted there by target, so that no task gets all
-    of them, and the frontier repeats a hub once per salt. A level keeps new nodes only and is staged, which
-    keeps plans short and lets the walk stop at the first empty level.
-    """
-    spark = edges.sparkSession
-    links = edges.select(F.col(src).alias("_src"), F.col(dst).alias("_dst"))
-    on = ["_src"]
-    links, name = _bucketed(links.filter("_src <> _dst"), on)
-    tables = [name]
-    degrees = links.groupBy("_src").agg(F.count(F.lit(1)).alias("_degree"))  # no shuffle either
-    hubs = stage(degrees.filter(F.col("_degree") >= hub_degree).select("_src"), "hubs")
-    has_hubs = not hubs.isEmpty()
-    if has_hubs:
-        on = ["_src", "_salt"]
-        links, name = _bucketed(spread_hot(links, hubs, "_src", "_dst"), on)
-        tables.append(name)
-
-    frontier = stage(seeds.select(F.col(node).alias("_node")).filter("_node IS NOT NULL").distinct(), "reach-0")
-    levels = [frontier]
-    for depth in range(1, max_depth + 1):
-        start = frontier.withColumnRenamed("_node", "_src")
-        if has_hubs:
-            start = repeat_hot(start, hubs, "_src")
-        found = links.join(start, on, "left_semi").select(F.col("_dst").alias("_node")).distinct()
-        visited = reduce(DataFrame.union, levels)
-        frontier = stage(found.join(visited, "_node", "left_anti"), f"reach-{depth}")
-        if frontier.isEmpty():
-            break
-        levels.append(frontier)
-    for name in tables:
-        spark.sql(f"DROP TABLE {name}")  # the name; every level is staged by now
-    result = [level.select(F.col("_node").alias(node), F.lit(i).alias("depth")) for i, level in enumerate(levels)]
-    return reduce(DataFrame.union, result)
+    """Nodes within ``max_depth`` links of a seed, with their least depth: a :class:`Walk` of its own. Runs jobs when called."""
+    walk = Walk(edges.sparkSession, staging_path(edges.sparkSession, "walk"), kind=edges.schema[dst].dataType.simpleString())
+    return walk.start(edges, seeds, src, dst, node, hub_degree).extend(max_depth).reached(node)
 
 
 def page_reach(pages_df: DataFrame, seeds: DataFrame, max_depth: int, url: str = "url", html: str = "html") -> DataFrame:

@@ -75,58 +75,85 @@ def film_keywords(catalogue: DataFrame, always: str | None = fixed.ALWAYS_KEYWOR
 
 # Gram lengths of the containment join. A keyword uses the longest one that fits it.
 GRAMS = (12, 6, 3, 2, 1)
+FLAGS_PER_GRAM = 32  # flags of the membership filter to a wanted gram; with two to a gram, a few of a thousand others pass
+MOST_FLAGS = 1 << 19  # 64 KB; with more wanted grams the filter lets more pass, and the join sorts them out
+SMALL_BYTES = 8 << 20  # keywords up to this size are broadcast
 
 
-def _grams(text: Column, q: int) -> Column:
-    """Distinct runs of q characters of a text; the look-ahead lets them overlap."""
-    return F.array_distinct(all_matches(text, f"(?s)(?=(.{{{q}}}))", 1))
+def _grams(text: Column, q: int | Column) -> Column:
+    """All runs of q characters of a text."""
+    count = F.length(text) - q + 1
+    starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.substring(text, i, F.lit(q) if isinstance(q, int) else q))
 
 
-def _tier_candidates(words: DataFrame, links: DataFrame, q: int) -> DataFrame:
-    """``_keyword, _word, _id`` of the links that hold the chosen gram of a keyword of at least q characters."""
-    grams = words.select("_keyword", "_word", F.explode(_grams(F.col("_word"), q)).alias("_gram"))
+def _chosen_grams(words: DataFrame) -> DataFrame:
+    """``_keyword, _word, _gram``: for each word the gram that fewest words share, of the longest length that fits; staged."""
+    length = F.length("_word")
+    q = reduce(lambda c, n: c.when(length >= n, n), GRAMS[1:], F.when(length >= GRAMS[0], GRAMS[0]))
+    grams = words.where("_word <> ''").select("_keyword", "_word", F.explode(F.array_distinct(_grams(F.col("_word"), q))).alias("_gram"))
     shared = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    chosen = (
-        grams.join(shared, "_gram")
-        .groupBy("_keyword", "_word")
-        .agg(F.min(F.struct("_n", "_gram")).alias("_pick"))
-        .select("_keyword", "_word", F.col("_pick._gram").alias("_gram"))
-    )
-    chosen = stage(chosen, "chosen")
-    wanted = stage(chosen.select("_gram").distinct(), "grams")
-    link_grams = links.select("_id", F.explode(_grams(F.col("_link"), q)).alias("_gram"))
-    # A semi join can broadcast its right side only and goes by the size of the grams. What is left is merged: the
-    # planner doesn't see how much the links grow when cut, and must not broadcast them.
-    hits = link_grams.join(wanted, "_gram", "left_semi")
-    return hits.join(chosen.hint("merge"), "_gram").select("_keyword", "_word", "_id")
-
-
-def _candidates(keywords: DataFrame, links: DataFrame, keyword: str, link: str) -> tuple[DataFrame, DataFrame]:
-    """``_keyword, _word, _id`` that may match, and the distinct links as ``_id, _link``.
-
-    A link that holds a keyword holds each of its grams, so the join runs on one gram per keyword. The gram is the
-    one that fewest keywords share: then a gram of a link leads to few keywords, and the candidates stay in
-    proportion to the links' characters. Links go through the join as 64-bit numbers. Should two links share a
-    number, both are candidates where one is, and the test that follows tells them apart.
+    least = grams.join(shared, "_gram").groupBy("_keyword", "_word").agg(F.min(F.struct("_n", "_gram")).alias("_pick"))
+    return stage(least.select("_keyword", "_word", F.col("_pick._gram").alias("_gram")), "chosen")
+
+
+class _Filter:
+    """A hash filter of the chosen grams, tested within a row: two flags to a gram, as a constant list of 64-bit words."""
+
+    def __init__(self, chosen: DataFrame, wanted: int) -> None:
+        self.slots = min(MOST_FLAGS, max(64, 1 << (wanted * FLAGS_PER_GRAM - 1).bit_length()))
+        slot = F.explode(F.array(*self._places(F.xxhash64("_gram")))).alias("slot")
+        words = chosen.select(slot).groupBy(F.shiftright("slot", 6).alias("word"))
+        words = words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("flags"))
+        held = {r["word"]: r["flags"] for r in words.collect()}  # at most MOST_FLAGS / 64 rows
+        text = ",".join(str(held.get(i, 0)) for i in range(self.slots // 64))
+        self.flags = F.split(F.lit(text), ",").cast("array<bigint>")  # folded to a constant
+
+    def _places(self, hashed: Column) -> list[Column]:
+        return [h.bitwiseAND(F.lit(self.slots - 1)) for h in (hashed, F.shiftrightunsigned(hashed, 32))]
+
+    def passes(self, hashed: Column) -> Column:
+        def flag(slot: Column) -> Column:
+            return F.bit_get(F.get(self.flags, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        first, second = self._places(hashed)
+        return flag(first) & flag(second)
+
+
+def _held(keywords: DataFrame, rows: DataFrame, keyword: str) -> DataFrame:
+    """``_keyword, _id``, each once: the keywords that the links of ``rows`` (``_id, _link``, staged) hold. Runs jobs.
+
+    A link that holds a keyword holds each of its grams, so the join runs on one gram per keyword: the one that fewest
+    keywords share. Then a gram leads to few keywords, and the candidates stay in proportion to the links' characters.
+    The links are read once and cut into the grams of all lengths in use; a filter tells within the row which of them are
+    wanted, and only those become rows. Measured small, the keywords are broadcast and a candidate is tested where it is
+    found. Otherwise grams and numbers of links are shuffled, and the text is fetched for candidates.
     """
     words = keywords.select(
         F.col(keyword).alias("_keyword"), F.replace(F.col(keyword), F.lit(" "), F.lit("_")).alias("_word")
     )
     words = stage(words.filter("_word IS NOT NULL").distinct(), "keywords")
-    whole = links.select(F.xxhash64(link).alias("_id"), F.col(link).alias("_link"))
-    whole = stage(whole.filter("_link IS NOT NULL").distinct(), "links")
-    found, longer = [], None
-    for q in GRAMS:
-        fits = F.length("_word") >= q
-        tier = words.filter(fits if longer is None else fits & (F.length("_word") < longer))
-        longer = q
-        if not tier.isEmpty():
-            found.append(_tier_candidates(tier, whole, q))
-    empty = words.filter("_word = ''")
-    if not found or not empty.isEmpty():  # every link holds the empty keyword, which is one row
-        held = whole.select(F.lit("").alias("_keyword"), F.lit("").alias("_word"), "_id")
-        found.append(held if not empty.isEmpty() else held.filter(F.lit(False)))
-    return reduce(DataFrame.unionByName, found), whole
+    chosen = _chosen_grams(words)
+    bytes_ = F.sum(F.octet_length("_keyword") + F.octet_length("_word") + F.octet_length("_gram") + 64).alias("bytes")
+    sizes = chosen.groupBy(F.length("_gram").alias("q")).agg(F.count(F.lit(1)).alias("n"), bytes_)
+    lengths = {r["q"]: r for r in sizes.collect()}  # a row for each gram length
+    found = []
+    if lengths:
+        tested = _Filter(chosen, sum(r["n"] for r in lengths.values()))
+        cut = F.concat(*[_grams(F.col("_link"), q) for q in lengths])
+        hashed = F.transform(cut, lambda g: F.struct(g.alias("gram"), F.xxhash64(g).alias("hash")))
+        wanted = F.filter(hashed, lambda x: tested.passes(x["hash"]))
+        hit = F.explode(F.array_distinct(F.transform(wanted, lambda x: x["gram"]))).alias("_gram")
+        if sum(r["bytes"] for r in lengths.values()) <= SMALL_BYTES:
+            pairs = rows.select("_id", "_link", hit).join(F.broadcast(chosen), "_gram")
+        else:
+            # The planner doesn't see how much the links grow when cut, and must not broadcast them.
+            pairs = rows.select("_id", hit).join(chosen.hint("merge"), "_gram").join(rows, "_id")
+        found.append(pairs.filter(F.contains("_link", "_word")).select("_keyword", "_id"))
+    if not lengths or not words.filter("_word = ''").isEmpty():  # every link holds the empty keyword, which is one row
+        blank = words.filter("_word = ''").select("_keyword").withColumn("_all", F.lit(0))
+        found.append(rows.withColumn("_all", F.lit(0)).join(F.broadcast(blank.limit(1)), "_all").select("_keyword", "_id"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def keyword_links(
@@ -134,25 +161,21 @@ def keyword_links(
 ) -> DataFrame:
     """All (keyword, link) pairs where the link holds the keyword with blanks as underscores, each once. Runs jobs when called.
 
-    Containment without comparing every keyword with every link, for lists of any length: candidates by a shared
-    gram, then the link's text is fetched and tested.
+    Containment without comparing every keyword with every link, for lists of any length.
     """
-    found, whole = _candidates(keywords, links, keyword, link)
-    pairs = found.distinct().join(whole, "_id").filter(F.contains("_link", "_word"))
+    whole = links.select(F.col(link).alias("_link")).filter("_link IS NOT NULL").distinct()
+    whole = stage(whole.withColumn("_id", F.monotonically_increasing_id()), "links")
+    pairs = _held(keywords, whole, keyword).join(whole, "_id")
     return pairs.select(F.col("_keyword").alias(keyword), F.col("_link").alias(link))
 
 
 def match_keywords_to_links(
     keywords: DataFrame, links: DataFrame, keyword: str = "keyword", link: str = "link"
 ) -> DataFrame:
-    """Rows of ``links`` whose link holds at least one keyword; a row stays one row. Runs jobs when called.
-
-    A link is passed on at the first candidate that it holds; pairs are not built.
-    """
-    found, whole = _candidates(keywords, links, keyword, link)
-    candidate = found.select(F.col("_id").alias("_of"), "_word")
-    matched = whole.join(candidate, (F.col("_id") == F.col("_of")) & F.contains("_link", "_word"), "left_semi")
-    return links.join(matched.select(F.col("_link").alias(link)), link, "left_semi").select(*links.columns)
+    """Rows of ``links`` whose link holds at least one keyword; a row stays one row. Runs jobs when called."""
+    rows = stage(links.withColumn("_id", F.monotonically_increasing_id()).withColumn("_link", F.col(link)), "links")
+    held = _held(keywords, rows.select("_id", "_link").filter("_link IS NOT NULL"), keyword).select("_id").distinct()
+    return rows.join(held, "_id", "left_semi").select(*links.columns)
 
 
 def enrich(catalogue: DataFrame, details: DataFrame, key: str | list[str] = "title") -> DataFrame:

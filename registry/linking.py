@@ -8,6 +8,7 @@ from filmweave.functions import text
 from filmweave.operators import dedup, graph, linking, quality
 from filmweave.operators.filters import film_pages
 from filmweave.plans.linkage import extract_infobox
+from filmweave.session import staging_path
 
 from . import inputs
 from .checks import Checks
@@ -164,6 +165,18 @@ CHECKS.oracles["reach"] = f"""WITH RECURSIVE e AS MATERIALIZED ({inputs.GRAPH_ED
     UNION SELECT e.dst_url, r.depth + 1 FROM r JOIN e ON e.src_url = r.url WHERE r.depth < 4)
 SELECT url, CAST(min(depth) AS BIGINT) AS depth FROM r GROUP BY url"""
 
+
+def _reach_resumed(spark, sf_dir):
+    """Two levels, then two more by a walk that is opened anew in the same folder."""
+    edges, seeds = inputs.load(spark, sf_dir, inputs.GRAPH_EDGES), inputs.load(spark, sf_dir, inputs.GRAPH_SEEDS)
+    path = staging_path(spark, "walk")
+    graph.Walk(spark, path).start(edges, seeds).extend(2)
+    reached = graph.Walk(spark, path).start(edges, seeds).extend(2).reached()
+    return reached.select("url", F.col("depth").cast("bigint").alias("depth"))
+
+
+CHECKS.add("reach_resumed", _reach_resumed, CHECKS.oracles["reach"])
+
 WALK_DEPTH = 6
 
 

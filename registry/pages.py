@@ -9,6 +9,8 @@ from filmweave.operators import budget, dedup, filters, quality
 from filmweave.operators.linking import enrich
 from filmweave.plans.catalogue import cleaned_catalogue, new_catalogue_rows, pages_to_store, title_rows
 from filmweave.plans.linkage import detail_records, enrich_from_links
+from filmweave.session import staging_path
+from filmweave.sources.store import page_store
 
 from . import inputs
 from .checks import Checks
@@ -295,6 +297,18 @@ CHECKS.queries["merge_by_key_append"] = _append
 CHECKS.oracles["merge_by_key_append"] = CHECKS.oracles["merge_by_key"]
 
 
+def _store_merges(spark, sf_dir):
+    """Both batches merged into a bucketed store, the second one twice, as after a failed job."""
+    path = staging_path(spark, "pages")
+    page_store(spark, path).merge(inputs.load(spark, sf_dir, OLD_ROWS), 0)
+    for _ in range(2):
+        store = page_store(spark, path)
+        store.merge(inputs.load(spark, sf_dir, NEW_ROWS), 1)
+    return store.table().select("ordinal", "url", "html")
+
+
+CHECKS.add("page_store_merge", _store_merges, CHECKS.oracles["merge_by_key"])
+
 
 def _to_store(spark, sf_dir):
     fetched, old = inputs.load(spark, sf_dir, KEYED), inputs.load(spark, sf_dir, OLD_ROWS)

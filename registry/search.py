@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmweave.functions import fixed
+from filmweave.functions import fixed, sql
 from filmweave.operators import prefixes, ranked
 from filmweave.operators import search as s
 from filmweave.operators.quality import null_fill
@@ -183,6 +183,41 @@ CHECKS.add(
     " UNION ALL ".join(f"SELECT {lit(p)} AS prefix, * FROM ({_prefix_sql(DOCUMENT_POSTINGS, p.lower(), _GROUPS)}) t" for p in _PREFIXES),
 )
 
+
+# -- the same from SQL ------------------------------------------------------------------------------------
+def _from_sql(statement):
+    """A statement over the documents and their postings, with the table functions at hand."""
+
+    def run(spark, sf_dir):
+        inputs.table(spark, sf_dir, "documents").createOrReplaceTempView("documents")
+        document_postings(spark, sf_dir).createOrReplaceTempView("document_postings")
+        sql.register_table_functions(spark, "document_postings")
+        inputs.load(spark, sf_dir, inputs.DUMP_TEXTS).createOrReplaceTempView("dump_texts")
+        return spark.sql(statement)
+
+    return run
+
+
+_ALL_FIELDS = "array('text', 'source', 'lang')"
+CHECKS.add(
+    "sql_search",
+    _from_sql(f"SELECT doc, round(score, 6) AS score FROM search('TION Src1', {_ALL_FIELDS}, (SELECT count(*) FROM documents))"),
+    _TWO_TERMS,
+)
+CHECKS.add(
+    "sql_prefix_counts",
+    _from_sql(
+        "SELECT (SELECT docs FROM prefix_counts('Src', array('text'))) AS body, "
+        "(SELECT docs FROM prefix_counts('Src', array('source', 'lang'))) AS origin"
+    ),
+    CHECKS.oracles["prefix_search"],
+)
+CHECKS.add(
+    "sql_dump_links",
+    _from_sql("SELECT k, link FROM dump_texts, LATERAL dump_links(txt)"),
+    f"SELECT k, unnest(regexp_extract_all(txt, {lit(fixed.DUMP_LINK)}, 0)) AS link FROM ({inputs.DUMP_TEXTS}) d",
+)
+
 # -- the linked table, all six fields; its rows are told apart by their whole content ---------------------
 _TEXT = "array_to_string({}, chr(10))".format
 FILLED_SQL = f"""SELECT DISTINCT title, coalesce(title_wiki, 'not found') AS title_wiki, {_TEXT("director_list")} AS director_list,

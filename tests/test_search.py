@@ -87,3 +87,25 @@ def test_written_index_gives_the_same_hits(spark, films, posts, tmp_path):
     n = films.count()
     assert {tuple(r) for r in search.search(index, "david", n).collect()} == {
         tuple(r) for r in search.search(posts, "david", n).collect()}
+
+
+def test_table_functions_from_sql(spark):
+    from filmweave.functions import sql
+
+    docs = spark.createDataFrame([(1, "Star Trek", "v1.2 u.s"), (2, "the star", "trek TREK"), (3, None, "")], "id long, title string, body string")
+    search.postings(docs, "id", ["title", "body"]).createOrReplaceTempView("fn_postings")
+    assert sql.register_table_functions(spark, "fn_postings") == ["dump_links", "query_terms", "prefix_counts", "search"]
+    both = "array('title', 'body')"
+    got = {r["doc"]: round(r["score"], 6) for r in spark.sql(f"SELECT * FROM search('The STAR trek', {both}, 3)").collect()}
+    want = {r["doc"]: round(r["score"], 6) for r in search.search(spark.table("fn_postings"), "star trek", 3, ["title", "body"]).collect()}
+    assert got == want and set(got) == {1, 2}
+    assert spark.sql("SELECT * FROM search('star', array('body'), 3)").count() == 0
+    assert spark.sql("SELECT * FROM search('the', array('title'), 3)").count() == 0
+    assert [r["term"] for r in spark.sql("SELECT * FROM query_terms('A Star, v1.2 star')").collect()] == ["star", "v1.2"]
+    assert spark.sql(f"SELECT docs FROM prefix_counts('TR', {both})").first()["docs"] == 2
+    texts = spark.createDataFrame([(1, "see https://en.x.org/a, https://en.y.org/b:c"), (2, "none"), (3, None)], "k long, txt string")
+    texts.createOrReplaceTempView("fn_texts")
+    links = spark.sql("SELECT k, link FROM fn_texts, LATERAL dump_links(txt)").collect()
+    assert [tuple(r) for r in links] == [(1, "https://en.x.org/a"), (1, "https://en.y.org/b")]
+    text = spark.sql("SELECT * FROM search('star', array('title'), 3)")._jdf.queryExecution().toString()
+    assert "Python" not in text
