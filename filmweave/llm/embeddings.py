@@ -36,11 +36,11 @@ from .components import components
 
 COSINE = 0.95
 BLOCKS = 4
-MOST = 8192  # vectors of a cell that a task holds
+MOST = 32768  # vectors of a cell that a task holds
 SAMPLE = 4096  # vectors for the axes, the shares and the cuts: bounds what goes to the driver, not what is compared
 SEED = 12
 _SLACK = 1e-9  # rounding of distances; candidates may be a little farther than they should
-_ASKING = 256  # vectors compared at once
+_ASKING = 64  # vectors compared at once
 _PAIRS = 1 << 15  # candidates verified at once
 _ROUTED = "block int, cell long, asks boolean, node long, n long, vec binary"
 _FOUND = "node long, links long, label long"
