@@ -3,13 +3,15 @@
 A line falls through a tree of fixed depth: its token count, then its first ``DEPTH`` tokens, tokens with digits
 standing as a wildcard. A line is dropped, with all others like it, in any of three cases:
 
-- its exact text stands in ``LEAST_DOCUMENTS`` documents, or in two if it has ``LONG`` tokens;
-- lines that differ from it in tokens with digits alone stand in as many, ``LONG`` counting tokens without digits;
+- its exact text stands in enough documents: the longer it is, the less it takes to rule out chance, so documents
+  times tokens have to come to ``WEIGHT``, with two documents at least and ``LEAST_DOCUMENTS`` at most;
+- lines that differ from it in tokens with digits alone stand in as many, counting tokens without digits;
 - its template recurs: within the leaf a token is fixed at its place if enough documents of the leaf have it there, other
   places are variable fields. Leaf and fixed tokens are the template, and it recurs if its lines stand in
   ``LEAST_DOCUMENTS`` documents. At most a quarter of the places without digits are variable.
 
-How many documents are enough depends on the template: a field's values recur too where there are many documents, but
+Documents of the same text count as one, so that copies of a document don't make its own lines recur; they are treated
+alike. How many documents are enough for a template depends on the template: a field's values recur too where there are many documents, but
 less than the words around them. So the bar goes up a ladder, ``LEAST_DOCUMENTS`` times powers of ``STEP``, and a line is
 dropped if its template recurs at any rung. In the second and third case at least two tokens, or half of all, are
 fixed. The outcome depends on counts alone, not on the order of the lines.
@@ -18,8 +20,7 @@ Only hashes of lines are shuffled until leaves that few documents reach are gone
 so a line that a third of all documents share is one row per task; where rows of such a line are joined, both sides
 are shuffled plainly and AQE splits them. No leaf is gathered.
 
-Defined cases: NULL text stays NULL, blank lines always stay, a document may end up empty; rows with the same id and
-text count as one document and are treated alike; lines differ if their tokens do, whatever the whitespace; extra
+Defined cases: NULL text stays NULL, blank lines always stay, a document may end up empty; lines differ if their tokens do, whatever the whitespace; extra
 columns stay.
 """
 
@@ -29,11 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import text_or_empty, whole_row
+from .common import text_or_empty
 
 DEPTH = 3
 LEAST_DOCUMENTS = 5
-LONG = 20  # tokens of a line that no two documents have by chance
+WEIGHT = 100  # documents times tokens of a line that don't come about by chance
 STEP = 2  # from one rung to the next
 VARIABLE = 0.25  # most of a template's places without digits
 WILDCARD = "<*>"
@@ -69,10 +70,16 @@ def _enough(literal: Column, size: Column) -> Column:
     return (literal >= 2) | (2 * literal >= size)
 
 
-def _ids(text: Column) -> Column:
-    """Leaf and line of each line that isn't blank, each once; the exact text only of lines with digits.
+def _needed(size: Column, least: int) -> Column:
+    """Documents that a line of so many tokens has to stand in."""
+    return F.least(F.lit(least), F.greatest(F.lit(2), F.ceil(F.lit(WEIGHT) / size))).cast("int")
 
-    ``kind`` has the bits 1: enough literal tokens, 2: ``LONG`` literal tokens, 4: ``LONG`` tokens.
+
+def _ids(text: Column, least: int) -> Column:
+    """Leaf and line of each line that isn't blank; the exact text only of lines with digits.
+
+    ``alike`` is the number of documents that lines like it need, 0 if too few of its tokens are literal, ``exact`` that of
+    its exact text.
     """
     each = F.transform(_lines(text), lambda line: F.struct(tokens(line).alias("t"), line.alias("body")))
     each = F.filter(each, lambda x: F.size(x["t"]) > 0)
@@ -80,26 +87,33 @@ def _ids(text: Column) -> Column:
     def one(x: Column) -> Column:
         size, digits = F.size(x["t"]), F.array_contains(x["t"], WILDCARD)
         literal = F.size(F.filter(x["t"], lambda t: t != WILDCARD))
-        bits = _enough(literal, size).cast("int") + 2 * (literal >= LONG).cast("int") + 4 * (size >= LONG).cast("int")
-        kind = F.when(digits, bits).otherwise(F.when(size >= LONG, 7).otherwise(1))
-        return F.struct(leaf_id(x["t"]).alias("leaf"), line_id(x["t"]).alias("line"), F.when(digits, raw_id(x["body"])).alias("raw"), kind.alias("kind"))
+        alike = F.when(~digits, _needed(size, least)).when(_enough(literal, size), _needed(F.greatest(literal, F.lit(1)), least)).otherwise(0)
+        return F.struct(
+            leaf_id(x["t"]).alias("leaf"), line_id(x["t"]).alias("line"), F.when(digits, raw_id(x["body"])).alias("raw"),
+            alike.alias("alike"), F.when(digits, _needed(size, least)).otherwise(0).alias("exact"),
+        )
+
+    return F.transform(each, one)
 
-    return F.array_distinct(F.transform(each, one))
+
+def text_id(text: Column) -> Column:
+    """A digest of a text, to tell texts apart."""
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable: float = VARIABLE) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, body, leaf, line, raw, kind`` of all lines, and ``leaf, line`` of those to drop. Runs jobs; both are staged.
+    """``body, leaf, line, raw, alike, exact`` of all lines, and ``leaf, line`` of those to drop. Runs jobs; both are staged.
 
-    ``body`` is a hash of the text, so that rows that share an id are told apart.
+    ``body`` is a digest of the text; documents of one text are one.
     """
     text = F.col("text")
-    rows = documents.select("doc_id", F.xxhash64(text).alias("body"), F.inline(_ids(text))).distinct()
+    rows = documents.select(text_id(text).alias("body"), F.inline(_ids(text, least))).distinct()
     rows = stage(rows, "lines")
     # A document may have lines that differ in digits alone; it counts once.
-    once = rows.where("raw IS NULL").select("doc_id", "body", "leaf", "line", "kind")
-    once = once.unionByName(rows.where("raw IS NOT NULL").select("doc_id", "body", "leaf", "line", "kind").distinct())
-    counts = stage(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind")), "line-counts")
-    alike = counts.where(_bit(1) & ((F.col("n") >= least) | (_bit(2) & (F.col("n") >= 2)))).select("leaf", "line")
+    once = rows.where("raw IS NULL").select("body", "leaf", "line", "alike")
+    once = once.unionByName(rows.where("raw IS NOT NULL").select("body", "leaf", "line", "alike").distinct())
+    counts = stage(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.max("alike").alias("alike")), "line-counts")
+    alike = counts.where("alike > 0 AND n >= alike").select("leaf", "line")
     leaves = counts.groupBy("leaf").agg(F.sum("n").alias("documents")).where(F.col("documents") >= least)
     likely = stage(counts.join(stage(leaves.select("leaf"), "leaves"), "leaf", "left_semi"), "likely-lines")
 
@@ -128,38 +142,35 @@ def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable
     lines = lines.where((literal >= (1 - variable) * F.col("words")) & _enough(literal, F.col("size")))
     own = F.xxhash64("at", F.transform("kept", lambda x: F.struct(x["place"], x["token"])))
     template = stage(lines.select("leaf", "line", own.alias("template")), "templates")
-    in_documents = rows.select("leaf", "line", "doc_id", "body").join(template, ["leaf", "line"]).select("leaf", "template", "doc_id", "body").distinct()
+    in_documents = rows.select("leaf", "line", "body").join(template, ["leaf", "line"]).select("leaf", "template", "body").distinct()
     often = in_documents.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= least)
     often = stage(often.select("leaf", "template"), "recurring")
     found = template.join(often, ["leaf", "template"], "left_semi").select("leaf", "line").unionByName(alike)
     return rows, stage(found.distinct(), "dropped")
 
 
-def _bit(value: int) -> Column:
-    return F.col("kind").bitwiseAND(F.lit(value)) > 0
-
-
-def recurring_texts(rows: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
+def recurring_texts(rows: DataFrame) -> DataFrame:
     """``raw`` of lines with digits that stand in enough documents word for word. Runs jobs."""
-    counts = rows.where("raw IS NOT NULL").groupBy("raw").agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind"))
-    return stage(counts.where((F.col("n") >= least) | (_bit(4) & (F.col("n") >= 2))).select("raw"), "exact-lines")
+    counts = rows.where("raw IS NOT NULL").groupBy("raw").agg(F.count(F.lit(1)).alias("n"), F.max("exact").alias("exact"))
+    return stage(counts.where("n >= exact").select("raw"), "exact-lines")
 
 
 def drop_recurring(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable: float = VARIABLE) -> DataFrame:
     """``documents`` without the lines of recurring templates, and ``lines_dropped``. Runs jobs."""
     rows, dropped = recurring_lines(documents, least, variable)
-    gone = rows.join(dropped, ["leaf", "line"]).select("doc_id", "body", F.col("line").alias("gone"))
-    exact = rows.where("raw IS NOT NULL").join(recurring_texts(rows, least), "raw").select("doc_id", "body", F.col("raw").alias("gone"))
-    gone = gone.unionByName(exact).groupBy("doc_id", "body").agg(F.collect_set("gone").alias("_gone"))
-    gone = stage(gone.withColumnRenamed("doc_id", "_id").withColumnRenamed("body", "_body"), "dropped-lines")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
-    joined = documents.select(whole_row(documents), "doc_id", "text").join(gone.hint("merge"), same, "left")
+    gone = rows.join(dropped, ["leaf", "line"]).select("body", F.col("line").alias("gone"))
+    exact = rows.where("raw IS NOT NULL").join(recurring_texts(rows), "raw").select("body", F.col("raw").alias("gone"))
+    gone = gone.unionByName(exact).groupBy("body").agg(F.collect_set("gone").alias("_gone"))
+    gone = stage(gone.withColumnRenamed("body", "_body"), "dropped-lines")
+    # Under names of their own, columns can't clash with what is added here.
+    own = [F.col(f"`{c}`").alias(f"column{i}") for i, c in enumerate(documents.columns) if c not in ("text", "lines_dropped")]
+    back = [F.col(f"column{i}").alias(c) for i, c in enumerate(documents.columns) if c not in ("text", "lines_dropped")]
+    joined = documents.select(*own, "text").join(gone.hint("merge"), text_id(F.col("text")) == F.col("_body"), "left")
     lines = _lines(F.col("text"))
     left = F.filter(lines, lambda line: ~(F.array_contains("_gone", line_id(tokens(line))) | F.array_contains("_gone", raw_id(line))))
-    columns = [F.col("whole").getField(c).alias(c) for c in documents.columns if c not in ("text", "lines_dropped")]
     cut = joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), left))
     return cut.select(
-        *columns,
+        *back,
         F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n")).alias("text"),
         F.when(F.col("_left").isNull(), 0).otherwise(F.size(lines) - F.size("_left")).alias("lines_dropped"),
     )
