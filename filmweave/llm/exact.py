@@ -25,6 +25,7 @@ from ..session import stage, staging_path
 from .common import text_or_empty
 
 BUCKETS = 64
+BATCHES = 3  # of the whole table, see deduplicate
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCHEMA = "digest STRING, keep_id BIGINT, batch BIGINT"
 
@@ -67,8 +68,10 @@ class DigestIndex:
 
         ``group_size`` counts the batch's rows with that text, ``keep_id`` is the row that stays, of whichever batch.
         """
-        rows = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), text_digest(F.col(f"`{text}`")).alias("digest"))
-        rows = stage(rows, "digests")
+        return self.add_digests(digests(documents, doc_id, text), batch)
+
+    def add_digests(self, rows: DataFrame, batch: int) -> DataFrame:
+        """:meth:`add` for rows ``doc_id, digest``, which are staged."""
         groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         groups = stage(groups, "groups")
         fresh = stage(self.new_rows(groups.select("digest", "keep_id")), "fresh")
@@ -90,7 +93,27 @@ class DigestIndex:
         )
 
 
-def deduplicate(documents: DataFrame) -> DataFrame:
-    """Verdicts on all documents, taken in as the first batch of a new index."""
-    index = DigestIndex(documents.sparkSession, staging_path(documents.sparkSession, "digest-index"))
-    return index.add(documents, batch=0)
+def digests(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, digest`` of all documents; staged, so texts are read once."""
+    return stage(documents.select(F.col(f"`{doc_id}`").alias("doc_id"), text_digest(F.col(f"`{text}`")).alias("digest")), "digests")
+
+
+def deduplicate(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """Verdicts on all documents, taken into a new index batch by batch, the largest ids first. Runs jobs when called.
+
+    So the row that stays is that with the largest id of all. ``group_size`` counts the rows of all batches.
+    """
+    spark = documents.sparkSession
+    index = DigestIndex(spark, staging_path(spark, "digest-index"))
+    rows = digests(documents)
+    cuts = sorted(set(rows.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)), reverse=True)
+    bounds = [F.col("doc_id") >= int(c) for c in cuts] + [F.lit(True)]
+    found, above = None, F.lit(False)
+    for batch, bound in enumerate(bounds):
+        part = rows.where(F.coalesce(bound, F.lit(False)) & ~above)
+        above = F.coalesce(bound, F.lit(False)) | above
+        verdicts = index.add_digests(part, batch).drop("group_size")
+        found = verdicts if found is None else found.unionByName(verdicts)
+    sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    found = found.join(stage(sizes, "sizes"), "digest", "left")
+    return found.select("doc_id", "digest", "keep_id", F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "kept")
