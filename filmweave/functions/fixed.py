@@ -58,6 +58,7 @@ TEMPLATE_MARK = r"(\{\{|\}\}|\[\[|\]\]|[{}\[\]|\n])\z"
 LIST_TEMPLATES = ("plainlist", "plain list", "flatlist", "flat list", "hlist", "ubl", "unbulleted list")
 NUMBERED_ARGUMENT = rf"^[{WS}]*\p{{Nd}}+[{WS}]*="
 ITEM_BREAK = r"(?i)<br */?>|\n[ \t]*\*|;"
+YEAR = r"(?:^|[^\p{Nd}])(\p{Nd}{4})(?:[^\p{Nd}]|\z)"
 LINK_TARGET = r"\[\[([^\[\]|]*)\|?[^\[\]]*\]\]"
 
 # Title pages.

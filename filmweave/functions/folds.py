@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import fixed
 from .details import header_cell
 from .pages import page_text
-from .text import all_matches, bind, first_item, strip
+from .text import all_matches, bind, first_item, first_match, strip
 
 _CUTS = "array<struct<at:int,n:int>>"
 
@@ -153,12 +153,22 @@ def listed_names(value: Column) -> Column:
     return F.filter(F.transform(broken, name), lambda n: n != "")
 
 
-def infobox_names(text: Column, field: str) -> Column:
-    """Names in a field of the film infobox; ``[not found]`` where there is none."""
-    names = bind(infobox_fields(text), lambda fields: listed_names(F.element_at(fields, field)))
+def names_in(fields: Column, field: str) -> Column:
+    """Names in a field of :func:`infobox_fields`; ``[not found]`` where there is none."""
+    names = listed_names(F.element_at(fields, field))
     return bind(names, lambda n: F.when(F.size(n) > 0, n).otherwise(F.array(F.lit(fixed.ABSENT))))
 
 
+def year_in(fields: Column, field: str) -> Column:
+    """The first number of four digits in a field, in a date template or not; ``not found`` where there is none."""
+    return F.coalesce(first_match(F.element_at(fields, field), fixed.YEAR), F.lit(fixed.ABSENT))
+
+
+def infobox_names(text: Column, field: str) -> Column:
+    """:func:`names_in` the film infobox of a page."""
+    return bind(infobox_fields(text), lambda fields: names_in(fields, field))
+
+
 # -- info tables ----------------------------------------------------------------------------------------
 
 

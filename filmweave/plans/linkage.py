@@ -5,16 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import details, infobox
+from ..functions import details, folds, infobox
 from ..functions.pages import dump_links
 from ..operators.filters import film_pages
 from ..operators.linking import enrich, film_keywords, keyword_links, link_catalogue
 from ..session import stage
 
 
-def extract_infobox(films: DataFrame, text: str = "revision.text._VALUE") -> DataFrame:
-    """``(title_wiki, director_wiki, music, release)`` of film pages."""
+def extract_infobox(films: DataFrame, text: str = "revision.text._VALUE", nested: bool = False) -> DataFrame:
+    """``(title_wiki, director_wiki, music, release)`` of film pages.
+
+    With ``nested`` the box is read once, by depth, into a map of its fields, and names and years come from those: inner
+    templates, lists and piped links are read for what they are. Otherwise each field is a pattern of its own.
+    """
     body = F.col(text)
+    if nested:
+        boxes = films.select(infobox.clean_title(F.col("title")).alias("title_wiki"), folds.infobox_fields(body).alias("_box"))
+        box = F.col("_box")
+        return boxes.select(
+            "title_wiki",
+            folds.names_in(box, "director").alias("director_wiki"),
+            folds.names_in(box, "music").alias("music"),
+            folds.year_in(box, "released").alias("release"),
+        )
     return films.select(
         infobox.clean_title(F.col("title")).alias("title_wiki"),
         infobox.infobox_directors(body).alias("director_wiki"),
@@ -23,14 +36,23 @@ def extract_infobox(films: DataFrame, text: str = "revision.text._VALUE") -> Dat
     )
 
 
-def linked_table(catalogue: DataFrame, dump: DataFrame) -> DataFrame:
+def linked_table(catalogue: DataFrame, dump: DataFrame, nested: bool = False) -> DataFrame:
     """Catalogue ``(title, director_list, …)`` with its encyclopedia partners in a page dump."""
-    return link_catalogue(catalogue, extract_infobox(film_pages(dump)))
+    return link_catalogue(catalogue, extract_infobox(film_pages(dump), nested=nested))
 
 
-def detail_records(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """Detail record of each encyclopedia page in HTML."""
+def detail_records(pages: DataFrame, key: str, html: str = "html", nested: bool = False) -> DataFrame:
+    """Detail record of each encyclopedia page in HTML; with ``nested``, rows, lists and cells are read by depth."""
     page = F.col(html)
+    if nested:
+        found = pages.select(key, folds.detail_fields(page).alias("_found"))
+        return found.select(
+            key,
+            F.col("_found.release").alias("release_date"),
+            F.coalesce("_found.writers", F.array().cast("array<string>")).alias("writers"),
+            F.get("_found.composers", F.lit(0)).alias("composer"),
+            F.col("_found.directors").alias("directors"),
+        )
     return pages.select(
         key,
         details.detail_release(page).alias("release_date"),
@@ -41,7 +63,7 @@ def detail_records(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
 
 
 def enrich_from_links(
-    catalogue: DataFrame, lines: DataFrame, pages: DataFrame, text: str = "text", url: str = "url"
+    catalogue: DataFrame, lines: DataFrame, pages: DataFrame, text: str = "text", url: str = "url", nested: bool = False
 ) -> DataFrame:
     """Catalogue enriched from the stored pages behind the dump links that name a film's director.
 
@@ -55,7 +77,7 @@ def enrich_from_links(
     words = film_keywords(catalogue, always=None)
     pairs = stage(keyword_links(words.select("keyword"), stored).distinct(), "keyword-links")  # two readers
     named = pages.join(pairs.select(F.col("link").alias(url)).distinct(), url, "left_semi")
-    records = detail_records(named, url).withColumnRenamed(url, "link")
+    records = detail_records(named, url, nested=nested).withColumnRenamed(url, "link")
     fields = [c for c in records.columns if c != "link"]
 
     def first(name: str, found: Column) -> Column:

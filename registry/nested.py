@@ -8,16 +8,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filmweave.functions import fixed, folds
+from filmweave.functions.text import split_directors
+from filmweave.operators.linking import enrich, link_catalogue
+from filmweave.plans.linkage import detail_records, extract_infobox
 
 from . import inputs
 from .checks import Checks
-from .sqltext import joined, lit, strip, sub, text_of
+from .sqltext import group, joined, lit, strip, sub, text_of
 
 CHECKS = Checks()
 
 # Boxes with nested, numbered, broken and unclosed values, before real text; remainders choose a layout.
 NESTED_BOXES = """
-SELECT d.k * 100000 + d.s AS id, replace(concat(
+SELECT d.k * 100000 + d.s AS id, concat(p.p_name, ' ', CAST(d.k AS STRING), ' (film)') AS title, replace(concat(
     'About {{other|x=y}}NL{{Infobox film <!-- old {{ | -->NL| name = ', p.p_name, ' {{small|(a|', p.p_brand, ')}}NL',
     CASE (d.k + d.s) % 6
       WHEN 0 THEN concat('| director = {{Plainlist|NL* [[Zoë ', s.s_name, '|Zoë]]{{efn|see {{cite|title=x|url=y}}}}NL* ', p.p_brand,
@@ -115,23 +118,73 @@ CHECKS.add(
 )
 
 _LISTS = ", ".join(lit(n) for n in fixed.LIST_TEMPLATES)
-_NAMES = f"""box AS MATERIALIZED ({_BOX}), field AS MATERIALIZED (SELECT id, value AS txt FROM ({_FIELDS}) f WHERE key = 'director'),
-  listed AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY i) AS nth FROM ({_parts("SELECT * FROM field WHERE starts_with(txt, '{{')")}) p),
-  body AS (SELECT id, string_agg({sub("txt", fixed.NUMBERED_ARGUMENT)}, chr(10) || '*' ORDER BY i) AS txt FROM listed
-    WHERE nth > 1 AND id IN (SELECT id FROM listed WHERE nth = 1 AND lower(replace({strip("txt")}, '_', ' ')) IN ({_LISTS})) GROUP BY id),
-  whole AS (SELECT f.id, coalesce(b.txt, f.txt) AS txt FROM field f LEFT JOIN body b ON b.id = f.id),
-  item AS MATERIALIZED (SELECT id AS box_id, j, id * 100 + j AS id, txt FROM (SELECT id, unnest(l) AS txt, generate_subscripts(l, 1) AS j
-    FROM (SELECT id, regexp_split_to_array(txt, {lit(fixed.ITEM_BREAK)}) AS l FROM whole) s) t),
-  named AS (SELECT i.box_id AS id, i.j, {strip(sub(sub(sub("o.txt", fixed.LINK_TARGET, chr(92) + "1"), fixed.BRACKETED), r"\[\[|\]\]"))} AS name
-    FROM item i JOIN ({_outside("SELECT id, txt FROM item")}) o ON o.id = i.id)"""
 
+
+def _names(field: str) -> str:
+    """CTEs up to ``{field}_names`` (id, names): the names in a field of ``box``, joined."""
+    listed = _parts(f"SELECT * FROM {field}_field WHERE starts_with(txt, '{{{{')")
+    bare = sub(sub(sub("o.txt", fixed.LINK_TARGET, chr(92) + "1"), fixed.BRACKETED), r"\[\[|\]\]")
+    return f"""{field}_field AS MATERIALIZED (SELECT id, value AS txt FROM field WHERE key = '{field}'),
+  {field}_listed AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY i) AS nth FROM ({listed}) p),
+  {field}_body AS (SELECT id, string_agg({sub("txt", fixed.NUMBERED_ARGUMENT)}, chr(10) || '*' ORDER BY i) AS txt FROM {field}_listed WHERE nth > 1
+    AND id IN (SELECT id FROM {field}_listed WHERE nth = 1 AND lower(replace({strip("txt")}, '_', ' ')) IN ({_LISTS})) GROUP BY id),
+  {field}_whole AS (SELECT f.id, coalesce(b.txt, f.txt) AS txt FROM {field}_field f LEFT JOIN {field}_body b ON b.id = f.id),
+  {field}_item AS MATERIALIZED (SELECT id AS box_id, j, id * 100 + j AS id, txt FROM (SELECT id, unnest(l) AS txt, generate_subscripts(l, 1) AS j
+    FROM (SELECT id, regexp_split_to_array(txt, {lit(fixed.ITEM_BREAK)}) AS l FROM {field}_whole) s) t),
+  {field}_names AS (SELECT id, string_agg(name, '|' ORDER BY j) AS names FROM (SELECT i.box_id AS id, i.j, {strip(bare)} AS name
+    FROM {field}_item i JOIN ({_outside(f"SELECT id, txt FROM {field}_item")}) o ON o.id = i.id) n WHERE name <> '' GROUP BY id)"""
+
+
+_BOXES = f"box AS MATERIALIZED ({_BOX}), field AS MATERIALIZED ({_FIELDS})"
 CHECKS.add(
     "infobox_names",
     lambda spark, sf_dir: _boxes(spark, sf_dir).select(
         "id", F.array_join(folds.infobox_names(F.col("txt"), "director"), "|").alias("names")
     ),
-    f"""WITH {_NAMES} SELECT b.id, coalesce(n.names, 'not found') AS names FROM box b
-LEFT JOIN (SELECT id, string_agg(name, '|' ORDER BY j) AS names FROM named WHERE name <> '' GROUP BY id) n ON n.id = b.id""",
+    f"""WITH {_BOXES}, {_names("director")} SELECT b.id, coalesce(n.names, 'not found') AS names FROM box b
+LEFT JOIN director_names n ON n.id = b.id""",
+)
+
+_NESTED_WIKI = f"""WITH boxes AS MATERIALIZED ({NESTED_BOXES}), {_BOXES}, {_names("director")}, {_names("music")}
+SELECT {strip(sub("b.title", fixed.BRACKETED))} AS title_wiki, string_split(coalesce(d.names, 'not found'), '|') AS director_wiki,
+  string_split(coalesce(m.names, 'not found'), '|') AS music, coalesce({group("r.value", fixed.YEAR)}, 'not found') AS release
+FROM boxes b LEFT JOIN director_names d ON d.id = b.id LEFT JOIN music_names m ON m.id = b.id
+LEFT JOIN (SELECT id, value FROM field WHERE key = 'released') r ON r.id = b.id"""
+
+
+def _nested_wiki(spark, sf_dir):
+    return extract_infobox(_boxes(spark, sf_dir), "txt", nested=True)
+
+
+def _flat(df):
+    lists = ("director_list", "director_wiki", "music")
+    return df.select(*[F.array_join(c, "|").alias(c) if c in lists else F.col(c) for c in df.columns])
+
+
+CHECKS.add(
+    "extract_infobox_nested",
+    lambda spark, sf_dir: _flat(_nested_wiki(spark, sf_dir)),
+    f"SELECT title_wiki, {joined('director_wiki')} AS director_wiki, {joined('music')} AS music, release FROM ({_NESTED_WIKI}) w",
+)
+
+# A catalogue whose directors stand in boxes of several layouts, or are unknown.
+_FILMS = """SELECT concat(p_name, ' ', CAST(p_partkey AS STRING)) AS title, CASE WHEN p_partkey % 5 = 0 THEN 'more'
+  ELSE concat(p_brand, ' Unit, ', 'Zoë ', s_name, ', ', s_name) END AS director
+FROM part JOIN supplier ON s_suppkey = (p_partkey * 7) % 10 + 1"""
+
+
+def _link_nested(spark, sf_dir):
+    films = inputs.load(spark, sf_dir, _FILMS)
+    films = films.select("title", split_directors(F.col("director")).alias("director_list"))
+    return _flat(link_catalogue(films, _nested_wiki(spark, sf_dir)))
+
+
+CHECKS.add(
+    "link_catalogue_nested",
+    _link_nested,
+    f"""WITH w AS MATERIALIZED ({_NESTED_WIKI}), c AS (SELECT title, string_split(director, ', ') AS director_list FROM ({_FILMS}) f)
+SELECT title, {joined("director_list")} AS director_list, title_wiki, {joined("director_wiki")} AS director_wiki, {joined("music")} AS music, release
+FROM c LEFT JOIN w ON c.title = w.title_wiki AND (list_has_any(c.director_list, w.director_wiki) OR list_contains(c.director_list, 'more'))""",
 )
 
 
@@ -172,3 +225,25 @@ SELECT p.id, nullif(string_split(r.texts, '|')[1], '') AS release, w.texts AS wr
 FROM page p LEFT JOIN released r ON r.id = p.id LEFT JOIN writers w ON w.id = p.id LEFT JOIN creators c ON c.id = p.id
 LEFT JOIN directors d ON d.id = p.id""",
 )
+
+
+# Catalogue rows of the pages, half of them with unknown directors, to be enriched from nested rows.
+_TO_ENRICH = "SELECT page_id AS k, url AS title, CASE page_id % 2 WHEN 0 THEN 'more' ELSE 'Own, Other' END AS director FROM pages"
+
+
+def _enrich_nested(spark, sf_dir):
+    films = inputs.load(spark, sf_dir, _TO_ENRICH).select("k", "title", split_directors(F.col("director")).alias("director_list"))
+    records = detail_records(inputs.load(spark, sf_dir, NESTED_DETAILS).withColumnRenamed("id", "k"), "k", nested=True)
+    rows = enrich(films, records, "k")
+    return rows.select(
+        "k", "title", F.array_join("director_list", "|").alias("director_list"), "release", F.array_join("writer", "|").alias("writer")
+    )
+
+
+CHECKS.add(
+    "enrich_nested",
+    _enrich_nested,
+    f"""WITH f AS ({_TO_ENRICH}), d AS MATERIALIZED ({CHECKS.oracles["detail_rows"]})
+SELECT f.k, f.title, CASE WHEN f.director = 'more' AND d.directors IS NOT NULL THEN d.directors ELSE replace(f.director, ', ', '|') END AS director_list,
+  d.release, coalesce(d.writers, '') AS writer FROM f LEFT JOIN d ON d.id = f.k""",
+)
