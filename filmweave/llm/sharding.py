@@ -8,8 +8,12 @@ Both orders are found without a sort of the whole by one task: rows fall into ``
 cells are counted, running sums of the counts give each cell its first rank, and rows are numbered within cells. A
 source that holds most rows spreads over all cells.
 
-Defined cases: NULL text has no bytes, checksum 0; NULL is a source of its own; repeated rows and rows with one id are
-put in an order of their own by the row number of the scan's staged copy; extra columns stay. An empty table gives no
+The order is a hash of seed, id and text, so neither the layout of the input nor its order decides. Rows that are equal in
+all of these are numbered, by partition and with running sums, and the number is hashed too: however many they are, they
+lie in all cells, and which of them is which makes no difference.
+
+Defined cases: NULL text has no bytes, checksum 0; NULL is a source of its own; rows with one id and different texts are in
+an order of their own; repeated rows too; extra columns stay. An empty table gives no
 rows; with fewer rows than shards some shards stay empty.
 """
 
@@ -36,12 +40,30 @@ def _numbered(rows: DataFrame, strata: list[str], cell: str, order: list[str], o
     return within.join(firsts, [*strata, cell]).withColumn(out, F.col("_first") + F.col("_in")).drop("_first", "_in")
 
 
+def _hashed(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows`` (``_row, source, doc_id, _text`` and others, staged) with ``_hash``, distinct but for chance. Runs jobs."""
+    first = F.xxhash64(F.lit(seed), F.col("source"), F.col("doc_id"), F.col("_text"))
+    ready = rows.withColumn("_same", first)
+    repeated = stage(ready.groupBy("_same").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_same"), "repeated")
+    if repeated.isEmpty():
+        return ready.withColumn("_hash", F.xxhash64("_same", F.lit(0).cast("long"))).drop("_same")
+    # Copies are numbered within the parts of the table they lie in, behind those of the parts before.
+    part = F.shiftright("_row", 33).alias("_part")
+    copies = stage(ready.select("_row", "_same", part).join(repeated, "_same", "left_semi"), "copies")
+    counts = copies.groupBy("_same", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("_same").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = stage(counts.select("_same", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "starts")
+    within = copies.withColumn("_in", F.row_number().over(W.partitionBy("_same", "_part").orderBy("_row")) - 1)
+    numbers = within.join(starts, ["_same", "_part"]).select("_row", (F.col("_start") + F.col("_in")).alias("_number"))
+    ready = ready.join(stage(numbers, "numbers"), "_row", "left")
+    return ready.withColumn("_hash", F.xxhash64("_same", F.coalesce("_number", F.lit(0).cast("long")))).drop("_same", "_number")
+
+
 def interleaved(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """``rows`` (``_row, source`` and others, staged) with ``shard`` and ``slot``. Runs jobs."""
+    """``rows`` (``_row, source, doc_id, _text`` and others, staged) with ``shard`` and ``slot``; ``_text`` is a hash of the text. Runs jobs."""
     name = F.xxhash64(F.lit(seed), F.col("source").isNull(), F.col("source"))
-    hashed = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("_row"))
-    ready = rows.withColumn("_stratum", name).withColumn("_hash", hashed).withColumn("_cell", F.pmod("_hash", F.lit(CELLS)))
-    ready = _numbered(ready, ["_stratum"], "_cell", ["_hash", "_row"], "_rank")
+    ready = _hashed(rows, seed).withColumn("_stratum", name).withColumn("_cell", F.pmod("_hash", F.lit(CELLS)))
+    ready = _numbered(stage(ready, "hashed"), ["_stratum"], "_cell", ["_hash", "_row"], "_rank")
     sizes = stage(rows.groupBy(name.alias("_stratum")).agg(F.count(F.lit(1)).alias("_of")), "strata")
     # Rank and size as whole numbers: the fraction is compared by its cell, then as a quotient.
     ranked = ready.join(sizes, "_stratum").withColumn("_fraction", (F.col("_rank") * 2 + 1) / (F.col("_of") * 2))
@@ -52,7 +74,7 @@ def interleaved(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Data
     shard = F.expr(f"_place * {shards} div _total")  # the last one whose start isn't behind the place
     placed = placed.withColumn("shard", shard.cast("int"))
     start = F.expr(f"(cast(shard AS BIGINT) * _total + {shards - 1}) div {shards}")
-    return placed.withColumn("slot", F.col("_place") - start).drop("_place", "_total", "_stratum", "_hash", "_fraction", "_slice")
+    return placed.withColumn("slot", F.col("_place") - start).drop("_place", "_total", "_stratum", "_hash", "_fraction", "_slice", "_text")
 
 
 def assign(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -62,6 +84,7 @@ def assign(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
         "source",
         (F.octet_length(text_or_empty(F.col("text"))).cast("long") + 16).alias("size"),
         F.crc32(text_or_empty(F.col("text")).cast("binary")).alias("text_crc32"),
+        F.xxhash64("text").alias("_text"),
         F.monotonically_increasing_id().alias("_row"),
     )
     return interleaved(stage(narrow, "rows"), shards).drop("_row", "source")
@@ -69,7 +92,8 @@ def assign(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def sharded(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``documents`` with ``shard`` and ``slot``, other columns as they were. Rows are staged once, whole."""
-    rows = stage(documents.select(whole_row(documents), "doc_id", "source", F.monotonically_increasing_id().alias("_row")), "rows")
-    placed = interleaved(rows.select("_row", "doc_id", "source"), shards).select("_row", "shard", "slot")
+    number = F.monotonically_increasing_id().alias("_row")
+    rows = stage(documents.select(whole_row(documents), "doc_id", "source", F.xxhash64("text").alias("_text"), number), "rows")
+    placed = interleaved(rows.select("_row", "doc_id", "source", "_text"), shards).select("_row", "shard", "slot")
     kept = [F.col("whole").getField(c).alias(c) for c in documents.columns if c not in ("shard", "slot")]
     return rows.join(placed, "_row").select(*kept, "shard", "slot")

@@ -203,14 +203,14 @@ def reassembled(found: DataFrame) -> DataFrame:
     whole = parts.groupBy("of").agg(
         *[F.max(F.when(head, F.col(c))).alias(c) for c in ("type", "uri", "refers_to", "digest")],
         F.max("total").alias("total"),
-        F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"),
+        F.array_sort(F.collect_list("segment")).alias("segments"),
+        F.expr("listagg(block) WITHIN GROUP (ORDER BY segment)").alias("joined"),  # each part is copied once
     )
-    gapless = F.col("parts.segment") == F.sequence(F.lit(1), F.size("parts"))
-    block = F.aggregate(F.col("parts.block"), F.lit(b""), lambda a, b: F.concat(a, b))
+    gapless = F.col("segments") == F.sequence(F.lit(1), F.size("segments"))
     checked = F.when(gapless & F.col("type").isNotNull() & (F.length("joined") == F.col("total")), F.col("joined")).otherwise(
         F.raise_error(F.concat(F.lit("segments don't make up record "), F.col("of"))).cast("binary")
     )
-    whole = whole.withColumn("joined", block).select("type", F.col("of").alias("id"), "uri", "refers_to", "digest", checked.alias("block"))
+    whole = whole.select("type", F.col("of").alias("id"), "uri", "refers_to", "digest", checked.alias("block"))
     return found.where("segment IS NULL").select("type", "id", "uri", "refers_to", "digest", "block").unionByName(whole)
 
 

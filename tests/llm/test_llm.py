@@ -147,6 +147,38 @@ def test_shards_are_even_and_mixed(spark, odd):
     assert sharding.assign(odd.limit(0)).count() == 0
 
 
+def test_shards_do_not_depend_on_the_layout(spark):
+    rng = random.Random(1)
+    rows = [(i, f"text {i % 900}", f"s{i % 3}") for i in range(1000)] + [(7, "same", "s0")] * 300 + [(None, None, None)] * 20
+    rng.shuffle(rows)
+    docs = docs_of(spark, rows)
+    placed = [sorted(map(str, sharding.assign(docs.repartition(n), 10).drop("_row").collect())) for n in (3, 7)]
+    assert placed[0] == placed[1] and len(placed[0]) == 1320
+    same = [sum("Row(doc_id=7, size=20" in r and f"shard={s}," in r for r in placed[0]) for s in range(10)]
+    assert sum(same) == 300 and min(same) > 15  # copies are spread like other rows
+
+
+def test_shards_against_a_plain_interleaving(spark):
+    """Of the sources only the order of fractions matters: each shard's mixture is that of sorting all rows by them."""
+    counts = {"a": 700, "b": 200, None: 99, "c": 1}
+    rows = [(i * 10 + k, f"t{i}", s) for k, (s, n) in enumerate(counts.items()) for i in range(n)]
+    out = sharding.assign(docs_of(spark, rows), 8).join(docs_of(spark, rows).select("doc_id", "source"), "doc_id").collect()
+    order = sorted((2 * r + 1) / (2 * n) for n in counts.values() for r in range(n))
+    ends = [order[-(-len(order) * (s + 1) // 8) - 1] for s in range(8)]
+    for shard in range(8):
+        for source, n in counts.items():
+            low = ends[shard - 1] if shard else -1
+            have = sum(r["shard"] == shard and r["source"] == source for r in out)
+            want = sum(low < (2 * r + 1) / (2 * n) <= ends[shard] for r in range(n))
+            assert abs(have - want) <= 1
+
+
+def test_warc_pages_of_many_megabytes(spark):
+    pages = spark.createDataFrame([(1, "u", "é" * 6_000_000), (2, "u", "x" * 3_000_000)], "page_id long, url string, html string")
+    out = {r["page_id"]: r["payload_bytes"] for r in warc.round_trip(pages).collect()}
+    assert out == {1: 12_000_000, 2: 3_000_000}
+
+
 def test_mix_meets_targets(spark, odd):
     rows = [(i, " ".join(["w"] * (i % 9)), ["a", "b", None][i % 3]) for i in range(3000)]
     out = mixing.mix(docs_of(spark, rows), columns=["doc_id", "source"]).collect()
@@ -413,6 +445,21 @@ def left_of(spark, texts):
     return {r["doc_id"]: r["text"] for r in templates.drop_recurring(documents).collect()}
 
 
+def test_copies_of_a_document_keep_its_lines(spark):
+    own = "\n".join(" ".join(f"{'abcdefghij'[i]}{'klmnopqrst'[j]}own" for j in range(10)) * 3 for i in range(4))
+    out = left_of(spark, [own] * 12 + ["other text alone"])
+    assert all(out[i] == own for i in range(12))
+
+
+def test_the_longer_a_line_the_fewer_documents_it_needs(spark):
+    line = lambda n: " ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(n))
+    for size, need in ((19, 5), (20, 5), (25, 4), (40, 3), (50, 2)):
+        name = lambda i: "".join("abcdefghij"[int(d)] for d in str(i))
+        for documents in (need - 1, need):
+            out = left_of(spark, [f"own {name(i + 10 * size)} part\n{line(size)}" for i in range(documents)])
+            assert all((line(size) in t) == (documents < need) for t in out.values())
+
+
 def test_long_lines_recur_from_two_documents_on(spark):
     passage = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(55))
     short = "a short line of seven words only"
