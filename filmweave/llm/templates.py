@@ -75,45 +75,42 @@ def _needed(size: Column, least: int) -> Column:
     return F.least(F.lit(least), F.greatest(F.lit(2), F.ceil(F.lit(WEIGHT) / size))).cast("int")
 
 
-def _ids(text: Column, least: int) -> Column:
-    """Leaf and line of each line that isn't blank; the exact text only of lines with digits.
-
-    ``alike`` is the number of documents that lines like it need, 0 if too few of its tokens are literal, ``exact`` that of
-    its exact text.
-    """
+def _ids(text: Column) -> Column:
+    """Leaf and line of each line that isn't blank, its tokens and those without digits; the exact text only of lines with digits."""
     each = F.transform(_lines(text), lambda line: F.struct(tokens(line).alias("t"), line.alias("body")))
     each = F.filter(each, lambda x: F.size(x["t"]) > 0)
 
     def one(x: Column) -> Column:
-        size, digits = F.size(x["t"]), F.array_contains(x["t"], WILDCARD)
-        literal = F.size(F.filter(x["t"], lambda t: t != WILDCARD))
-        alike = F.when(~digits, _needed(size, least)).when(_enough(literal, size), _needed(F.greatest(literal, F.lit(1)), least)).otherwise(0)
+        digits = F.array_contains(x["t"], WILDCARD)
+        literal = F.when(digits, F.size(F.filter(x["t"], lambda t: t != WILDCARD))).otherwise(F.size(x["t"]))
         return F.struct(
             leaf_id(x["t"]).alias("leaf"), line_id(x["t"]).alias("line"), F.when(digits, raw_id(x["body"])).alias("raw"),
-            alike.alias("alike"), F.when(digits, _needed(size, least)).otherwise(0).alias("exact"),
+            F.size(x["t"]).alias("size"), literal.alias("literal"),
         )
 
     return F.transform(each, one)
 
 
 def text_id(text: Column) -> Column:
-    """A digest of a text, to tell texts apart."""
-    return F.unhex(F.md5(text.cast("binary")))
+    """Two hashes of a text, which tell texts apart: a chance match is a matter of 128 bits."""
+    return F.struct(F.xxhash64(F.lit(3), text).alias("a"), F.xxhash64(F.lit(4), text).alias("b"))
 
 
 def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable: float = VARIABLE) -> tuple[DataFrame, DataFrame]:
-    """``body, leaf, line, raw, alike, exact`` of all lines, and ``leaf, line`` of those to drop. Runs jobs; both are staged.
+    """``body, leaf, line, raw, size, literal`` of all lines, and ``leaf, line`` of those to drop. Runs jobs; both are staged.
 
-    ``body`` is a digest of the text; documents of one text are one.
+    ``body`` is :func:`text_id`; documents of one text are one.
     """
     text = F.col("text")
-    rows = documents.select(text_id(text).alias("body"), F.inline(_ids(text, least))).distinct()
+    rows = documents.select(text_id(text).alias("body"), F.inline(_ids(text))).distinct()
     rows = stage(rows, "lines")
     # A document may have lines that differ in digits alone; it counts once.
-    once = rows.where("raw IS NULL").select("body", "leaf", "line", "alike")
-    once = once.unionByName(rows.where("raw IS NOT NULL").select("body", "leaf", "line", "alike").distinct())
-    counts = stage(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.max("alike").alias("alike")), "line-counts")
-    alike = counts.where("alike > 0 AND n >= alike").select("leaf", "line")
+    once = rows.where("raw IS NULL").select("body", "leaf", "line", "size", "literal")
+    once = once.unionByName(rows.where("raw IS NOT NULL").select("body", "leaf", "line", "size", "literal").distinct())
+    sizes = [F.max(c).alias(c) for c in ("size", "literal")]
+    counts = stage(once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), *sizes), "line-counts")
+    alike = _enough(F.col("literal"), F.col("size")) & (F.col("n") >= _needed(F.greatest("literal", F.lit(1)), least))
+    alike = counts.where(alike).select("leaf", "line")
     leaves = counts.groupBy("leaf").agg(F.sum("n").alias("documents")).where(F.col("documents") >= least)
     likely = stage(counts.join(stage(leaves.select("leaf"), "leaves"), "leaf", "left_semi"), "likely-lines")
 
@@ -149,17 +146,17 @@ def recurring_lines(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable
     return rows, stage(found.distinct(), "dropped")
 
 
-def recurring_texts(rows: DataFrame) -> DataFrame:
+def recurring_texts(rows: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """``raw`` of lines with digits that stand in enough documents word for word. Runs jobs."""
-    counts = rows.where("raw IS NOT NULL").groupBy("raw").agg(F.count(F.lit(1)).alias("n"), F.max("exact").alias("exact"))
-    return stage(counts.where("n >= exact").select("raw"), "exact-lines")
+    counts = rows.where("raw IS NOT NULL").groupBy("raw").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    return stage(counts.where(F.col("n") >= _needed(F.col("size"), least)).select("raw"), "exact-lines")
 
 
 def drop_recurring(documents: DataFrame, least: int = LEAST_DOCUMENTS, variable: float = VARIABLE) -> DataFrame:
     """``documents`` without the lines of recurring templates, and ``lines_dropped``. Runs jobs."""
     rows, dropped = recurring_lines(documents, least, variable)
     gone = rows.join(dropped, ["leaf", "line"]).select("body", F.col("line").alias("gone"))
-    exact = rows.where("raw IS NOT NULL").join(recurring_texts(rows), "raw").select("body", F.col("raw").alias("gone"))
+    exact = rows.where("raw IS NOT NULL").join(recurring_texts(rows, least), "raw").select("body", F.col("raw").alias("gone"))
     gone = gone.unionByName(exact).groupBy("body").agg(F.collect_set("gone").alias("_gone"))
     gone = stage(gone.withColumnRenamed("body", "_body"), "dropped-lines")
     # Under names of their own, columns can't clash with what is added here.
