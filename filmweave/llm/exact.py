@@ -25,7 +25,7 @@ from ..session import stage, staging_path
 from .common import text_or_empty
 
 BUCKETS = 64
-BATCHES = 3  # of the whole table, see deduplicate
+BATCHES = 2  # of the whole table, see deduplicate
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCHEMA = "digest STRING, keep_id BIGINT, batch BIGINT"
 
@@ -74,14 +74,12 @@ class DigestIndex:
         """:meth:`add` for rows ``doc_id, digest``, which are staged."""
         groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         groups = stage(groups, "groups")
-        fresh = stage(self.new_rows(groups.select("digest", "keep_id")), "fresh")
-        self.append(fresh, batch)
+        self.append(self.new_rows(groups.select("digest", "keep_id")), batch)
         # Rows that stand alone and are new need no look-up. For the others both sides are shuffled plainly, so that
         # AQE can split the rows of a frequent text.
-        fresh = fresh.select("digest", F.lit(True).alias("_new"))
-        seen = groups.join(fresh, "digest", "left").where("_new IS NULL OR group_size > 1").select("digest", "group_size")
-        held = self.table().where(F.col("batch") <= batch)
-        seen = stage(seen.join(held, "digest").select("digest", "keep_id", "group_size", (F.col("batch") == batch).alias("_now")), "seen")
+        held = self.table().where(F.col("batch") <= batch).select("digest", "keep_id", (F.col("batch") == batch).alias("_now"))
+        seen = groups.select("digest", "group_size").join(held.hint("merge"), "digest").where("NOT _now OR group_size > 1")
+        seen = stage(seen, "seen")
         found = rows.join(seen.withColumn("_hit", F.lit(True)), "digest", "left")
         keep_id = F.when(F.col("_hit"), F.col("keep_id")).otherwise(F.col("doc_id"))
         return found.select(
