@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -111,21 +111,13 @@ def ranked(rows: DataFrame, tree: str, order: list[Column]) -> DataFrame:
     # One row for each tree and partition it lies in.
     counts = placed.groupBy(tree, "part").agg(F.count(F.lit(1)).alias("rows"), F.min("at").alias("start"))
     counts = stage(counts.withColumnRenamed(tree, "of"), "counts")
-    totals = counts.groupBy("of").agg(F.sum("rows").alias("n"), F.sort_array(F.collect_list(F.struct("part", "rows"))).alias("parts"))
-    # A tree's partitions are consecutive and few against its rows; running sums go within the tree's row.
-    sums = F.aggregate(
-        "parts",
-        F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<struct<part:bigint,offset:bigint>>").alias("out")),
-        lambda acc, p: F.struct(
-            (acc["sum"] + p["rows"]).alias("sum"),
-            F.concat(acc["out"], F.array(F.struct(p["part"].alias("part"), acc["sum"].alias("offset")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    offsets = totals.select("of", "n", F.inline(sums))
-    offsets = offsets.join(counts.select(F.col("of").alias("of2"), F.col("part").alias("part2"), "start"),
-                           F.col("of").eqNullSafe(F.col("of2")) & (F.col("part") == F.col("part2")))
-    offsets = offsets.select("of", F.col("part").alias("part2"), "n", (F.col("offset") - F.col("start")).alias("shift"))
+    # Their running sums: a tree has a row for each partition, which are few against its leaves.
+    whole = Window.partitionBy("of")
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "of", F.col("part").alias("part2"), F.sum("rows").over(whole).alias("n"),
+        (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("start")).alias("shift"),
+    )
     found = placed.join(offsets, F.col(tree).eqNullSafe(F.col("of")) & (F.col("part") == F.col("part2")))
     return found.select(*rows.columns, (F.col("at") + F.col("shift")).alias("rank"), "n")
 
