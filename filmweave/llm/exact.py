@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from ..session import stage, staging_path
 from .common import text_or_empty
 
-BUCKETS = 64
 BATCHES = 2  # of the whole table, see deduplicate
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCHEMA = "digest STRING, keep_id BIGINT, batch BIGINT"
@@ -38,10 +37,12 @@ def text_digest(text: Column) -> Column:
 class DigestIndex:
     """An index in a folder that all executors share. Opening the same folder again goes on with what it holds.
 
-    ``buckets`` is fixed when the folder is new: a few for each core that will read it.
+    ``buckets`` is fixed when the folder is new: a few for each core that will read it, by default the session's shuffle
+    partitions. A writer deals a batch out to as many tasks, so it adds one file to each bucket.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = "digests_" + hashlib.sha256(path.encode()).hexdigest()[:32]
         spark.sql(
