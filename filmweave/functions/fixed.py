@@ -1,6 +1,6 @@
 """Sentinels, word lists, sites and regular expressions the results depend on.
 
-The regular expressions, but for the token, keep to the subset that Java and RE2 read alike, and never use ``.``, ``\\s``
+The regular expressions, but for the token and whole templates, keep to the subset that Java and RE2 read alike, and never use ``.``, ``\\s``
 or ``\\w``: those mean different character sets in different engines.
 """
 
@@ -51,10 +51,33 @@ BOX_SHOWN = r"\|[^\]\n]*"
 BOX_YEAR_STRICT = rf"released[{WS}]*=[{WS}]*\{{\{{[^\n}}]*?\|(\p{{Nd}}{{4}})[|}}]"
 BOX_YEAR_DAY = rf"released[{WS}]*=[{WS}]*\p{{Nd}}{{1,2}} [a-zA-Z]+ (\p{{Nd}}{{4}})"
 
+# What follows to the end of the text. A class of all characters says the same at some hundred times the cost.
+REST = r"(?s:.*)"
+
 # Templates read by depth: a piece of text with the mark that ends it, and that mark.
 COMMENT = r"<!--[\s\S]*?-->"
 TEMPLATE_PIECE = r"[^{}\[\]|\n]*(?:\{\{|\}\}|\[\[|\]\]|[{}\[\]|\n]|\z)"
 TEMPLATE_MARK = r"(\{\{|\}\}|\[\[|\]\]|[{}\[\]|\n])\z"
+# Whole templates in one pattern, up to three deep, with links that hold no template; possessive, so Java's alone and without
+# recursion. An inner template that isn't closed ends with the text. What is nested otherwise is read mark by mark.
+_LONE = r"\{(?!\{)|\}(?!\})"
+_LINK = rf"\[\[(?:[^\[\]{{}}\n]++|\[(?!\[)|\](?!\])|{_LONE})*+(?:\]\]|(?=\n)|\z)"
+
+
+def _nested(plain: str) -> tuple[str, str]:
+    """What ``plain`` and closed templates make up within a template, and one template: closed, or open to the end of the text."""
+    inner = f"(?:{plain})*+"
+    for _ in range(2):
+        inner = rf"(?:{plain}|\{{\{{{inner}\}}\}})*+"
+    return inner, rf"\{{\{{{inner}\}}\}}|(?:\{{\{{{inner})++\z"
+
+
+_LINKED = rf"[^{{}}\[]++|{_LONE}|\[(?!\[)|{_LINK}"
+_ARGUMENT = rf"(?:[^{{}}\[|]++|{_LONE}|\[(?!\[)|{_LINK}|{_nested(_LINKED)[1]})*+"
+PLAIN_TEMPLATE = rf"^\{{\{{{_ARGUMENT}(?:\|{_ARGUMENT})*+(?:\}}\}}|\z)"
+TEMPLATE_ARGUMENT = rf"(?:^\{{\{{|(?!^)\G\|)({_ARGUMENT})"
+INNER_TEMPLATE = _nested(rf"[^{{}}]++|{_LONE}")[1]
+PLAIN_OUTSIDE = rf"^(?:[^{{}}]++|{_LONE}|\}}\}}|{INNER_TEMPLATE})*+\z"
 LIST_TEMPLATES = ("plainlist", "plain list", "flatlist", "flat list", "hlist", "ubl", "unbulleted list")
 NUMBERED_ARGUMENT = rf"^[{WS}]*\p{{Nd}}+[{WS}]*="
 ITEM_BREAK = r"(?i)<br */?>|\n[ \t]*\*|;"

@@ -69,9 +69,21 @@ def without_comments(text: Column) -> Column:
 def template_parts(text: Column) -> Column:
     """Name and arguments of the template that ``text`` starts with, as they stand; an unclosed one ends with the text.
 
-    A pipe separates arguments unless it stands in an inner template or in a link. A link ends with its line.
+    A pipe separates arguments unless it stands in an inner template or in a link. A link ends with its line. Templates that
+    one pattern can read are read by it, which costs a small part of the fold.
     """
 
+    def parts(whole: Column) -> Column:
+        plain = F.regexp_substr(whole, F.lit(fixed.PLAIN_TEMPLATE))
+        read = bind(plain, lambda p: F.when(p.isNotNull(), all_matches(p, fixed.TEMPLATE_ARGUMENT, 1)))
+        return F.coalesce(read, _folded_parts(whole))
+
+    return bind(text, parts)
+
+
+def _folded_parts(text: Column) -> Column:
+    """:func:`template_parts` mark by mark, for any text."""
+
     def step(now: dict[str, Column], kind: Column, before: Column, after: Column) -> dict[str, Column]:
         first = (now["braces"] == 0) & (kind == "{{") & (now["done"] == 0)
         last = (now["braces"] == 1) & (kind == "}}")
@@ -92,6 +104,17 @@ def template_parts(text: Column) -> Column:
 def outside_templates(text: Column) -> Column:
     """``text`` without its templates, whatever they hold; a stray end stays."""
 
+    def kept(whole: Column) -> Column:
+        without = F.regexp_replace(whole, fixed.INNER_TEMPLATE, "")
+        plain = F.when(whole.rlike(fixed.PLAIN_OUTSIDE), without).otherwise(_folded_outside(whole))
+        return F.when(whole.contains("{{"), plain).otherwise(whole)
+
+    return bind(text, kept)
+
+
+def _folded_outside(text: Column) -> Column:
+    """:func:`outside_templates` mark by mark, for any text."""
+
     def step(now: dict[str, Column], kind: Column, before: Column, after: Column) -> dict[str, Column]:
         opens, closes = kind == "{{", (kind == "}}") & (now["braces"] > 0)
         begin = opens & (now["braces"] == 0)
@@ -110,7 +133,7 @@ def infobox_fields(text: Column) -> Column:
 
     Values are whole, with their inner templates and links. NULL without a film infobox.
     """
-    box = F.regexp_substr(without_comments(text), F.lit(fixed.FILM_BOX + r"[\s\S]*"))
+    box = F.regexp_substr(without_comments(text), F.lit(fixed.FILM_BOX + fixed.REST))
 
     def entries(parts: Column) -> Column:
         named = F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: p.contains("="))
@@ -177,7 +200,7 @@ def table_row(html: Column, headers: tuple[str, ...]) -> Column:
 
     Tables in its cells are part of the row. A row that isn't closed ends where another begins or its table ends.
     """
-    rest = F.regexp_substr(without_comments(html), F.lit(header_cell(headers) + r"[\s\S]*"))
+    rest = F.regexp_substr(without_comments(html), F.lit(header_cell(headers) + fixed.REST))
 
     def step(now: dict[str, Column], kind: Column, before: Column, after: Column) -> dict[str, Column]:
         here = now["tables"] == 0

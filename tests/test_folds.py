@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from filmweave.functions import folds
+from filmweave.functions import fixed, folds
 
 BOX = """Lead text.
 {{Infobox film <!-- a | comment }} -->
@@ -124,3 +124,33 @@ def test_a_long_box_takes_linear_time(value):
     text = "{{Infobox film|a=" + "{{b|[[c]]}}" * 100000 + "|d=e}}"
     fields = value(lambda c: F.map_values(folds.infobox_fields(c)), text)
     assert len(fields[0]) == 1100000 and fields[1] == "e"
+
+
+def test_one_pattern_reads_what_the_fold_reads(spark):
+    """Templates, open and closed, nested up to and beyond the pattern's depth, and links that hold templates."""
+    rng = random.Random(5)
+    marks = ["{{", "}}", "[[", "]]", "|", "\n", "{", "}", "[", "]", "é", "bc"]
+    weights = [3, 4, 2, 3, 3, 1, 1, 1, 1, 1, 3, 3]
+    texts = ["{{" * rng.randint(0, 2) + "".join(rng.choices(marks, weights, k=rng.randint(0, 25))) for _ in range(6000)]
+    texts += ["{{a|" * n + "x|y" + "}}" * m + "|z" for n in range(7) for m in range(8)]
+    x = F.col("x")
+    rows = spark.createDataFrame([(t,) for t in texts], "x string").repartition(8)
+    found = rows.select(
+        "x", folds.template_parts(x).alias("parts"), folds._folded_parts(x).alias("folded"),
+        folds.outside_templates(x).alias("outside"), folds._folded_outside(x).alias("folded_outside"),
+        F.regexp_substr(x, F.lit(fixed.PLAIN_TEMPLATE)).isNotNull().alias("plain"),
+    ).collect()
+    assert [r["x"] for r in found if r["parts"] != r["folded"] or r["outside"] != r["folded_outside"]] == []
+    assert 500 < sum(r["plain"] for r in found) < len(found) - 500
+
+
+def test_common_boxes_take_no_fold(value):
+    """Inner templates, piped links, links that end with their line and boxes that don't end are read by the pattern."""
+    for text in (BOX[BOX.index("{{") :], "{{Infobox film|a=[[b|c]]|d={{e|{{f|{{g}}}}}}|h={{i|[[j", "{{a|b=[[c | d\n|e={f}}} rest"):
+        box = value(lambda c: F.regexp_substr(folds.without_comments(c), F.lit(fixed.PLAIN_TEMPLATE)), text)
+        assert box is not None
+
+
+def test_the_rest_of_a_page_is_cut_off_at_little_cost(spark):
+    physical = spark.range(1).select(folds.infobox_fields(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "(?s:.*)" in physical and r"\|[\s\S]*" not in physical
