@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import all_matches
 from ..session import stage
 
 ANY_DIRECTOR = "*"
@@ -76,7 +75,8 @@ def film_keywords(catalogue: DataFrame, always: str | None = fixed.ALWAYS_KEYWOR
 # Gram lengths of the containment join. A keyword uses the longest one that fits it.
 GRAMS = (12, 6, 3, 2, 1)
 FLAGS_PER_GRAM = 32  # flags of the membership filter to a wanted gram; with two to a gram, a few of a thousand others pass
-MOST_FLAGS = 1 << 19  # 64 KB; with more wanted grams the filter lets more pass, and the join sorts them out
+MOST_FLAGS = 1 << 22  # 512 KB; with more wanted grams the filter lets more pass, and the join sorts them out
+MANY_GRAMS = 1 << 15  # wanted grams from which on keywords are first left out whose commonest gram no link holds
 SMALL_BYTES = 8 << 20  # keywords up to this size are broadcast
 
 
@@ -88,13 +88,14 @@ def _grams(text: Column, q: int | Column) -> Column:
 
 
 def _chosen_grams(words: DataFrame) -> DataFrame:
-    """``_keyword, _word, _gram``: for each word the gram that fewest words share, of the longest length that fits; staged."""
+    """``_keyword, _word, _gram, _common``: for each word the grams that fewest and most words share, of the longest length that fits; staged."""
     length = F.length("_word")
     q = reduce(lambda c, n: c.when(length >= n, n), GRAMS[1:], F.when(length >= GRAMS[0], GRAMS[0]))
     grams = words.where("_word <> ''").select("_keyword", "_word", F.explode(F.array_distinct(_grams(F.col("_word"), q))).alias("_gram"))
     shared = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    least = grams.join(shared, "_gram").groupBy("_keyword", "_word").agg(F.min(F.struct("_n", "_gram")).alias("_pick"))
-    return stage(least.select("_keyword", "_word", F.col("_pick._gram").alias("_gram")), "chosen")
+    pick = F.struct("_n", "_gram")
+    ends = grams.join(shared, "_gram").groupBy("_keyword", "_word").agg(F.min(pick).alias("_least"), F.max(pick).alias("_most"))
+    return stage(ends.select("_keyword", "_word", F.col("_least._gram").alias("_gram"), F.col("_most._gram").alias("_common")), "chosen")
 
 
 class _Filter:
@@ -120,39 +121,52 @@ class _Filter:
         return flag(first) & flag(second)
 
 
+def _gram_sizes(chosen: DataFrame) -> dict[int, Row]:
+    """Number and bytes of the chosen grams by length: a row for each of :data:`GRAMS`."""
+    bytes_ = F.sum(F.octet_length("_keyword") + F.octet_length("_word") + F.octet_length("_gram") + 64).alias("bytes")
+    return {r["q"]: r for r in chosen.groupBy(F.length("_gram").alias("q")).agg(F.count(F.lit(1)).alias("n"), bytes_).collect()}
+
+
+def _wanted(grams: DataFrame, lengths: list[int]) -> Column:
+    """``_gram``, exploded: the distinct grams of ``_link`` that pass the filter of ``grams``."""
+    tested = _Filter(grams, grams.count())
+    cut = F.concat(*[_grams(F.col("_link"), q) for q in lengths])
+    hashed = F.transform(cut, lambda g: F.struct(g.alias("gram"), F.xxhash64(g).alias("hash")))
+    passed = F.filter(hashed, lambda x: tested.passes(x["hash"]))
+    return F.explode(F.array_distinct(F.transform(passed, lambda x: x["gram"]))).alias("_gram")
+
+
 def _held(keywords: DataFrame, rows: DataFrame, keyword: str) -> DataFrame:
-    """``_keyword, _id``, each once: the keywords that the links of ``rows`` (``_id, _link``, staged) hold. Runs jobs.
+    """``_keyword, _id, _link``, each once: the keywords that the links of ``rows`` (``_id, _link``, staged) hold. Runs jobs.
 
     A link that holds a keyword holds each of its grams, so the join runs on one gram per keyword: the one that fewest
     keywords share. Then a gram leads to few keywords, and the candidates stay in proportion to the links' characters.
     The links are read once and cut into the grams of all lengths in use; a filter tells within the row which of them are
     wanted, and only those become rows. Measured small, the keywords are broadcast and a candidate is tested where it is
-    found. Otherwise grams and numbers of links are shuffled, and the text is fetched for candidates.
+    found. Otherwise the grams are shuffled with their links, so a candidate is tested there too and only true pairs go on.
+    Of very many keywords those are left out first whose commonest gram is in no link; commonest grams are few.
     """
     words = keywords.select(
         F.col(keyword).alias("_keyword"), F.replace(F.col(keyword), F.lit(" "), F.lit("_")).alias("_word")
     )
     words = stage(words.filter("_word IS NOT NULL").distinct(), "keywords")
     chosen = _chosen_grams(words)
-    bytes_ = F.sum(F.octet_length("_keyword") + F.octet_length("_word") + F.octet_length("_gram") + 64).alias("bytes")
-    sizes = chosen.groupBy(F.length("_gram").alias("q")).agg(F.count(F.lit(1)).alias("n"), bytes_)
-    lengths = {r["q"]: r for r in sizes.collect()}  # a row for each gram length
+    lengths = _gram_sizes(chosen)
+    if sum(r["n"] for r in lengths.values()) > MANY_GRAMS:
+        common = stage(chosen.select(F.col("_common").alias("_gram")).distinct(), "common")
+        hits = rows.select(_wanted(common, list(lengths))).distinct()
+        chosen = stage(chosen.join(hits.withColumnRenamed("_gram", "_common"), "_common", "left_semi"), "chosen")
+        lengths = _gram_sizes(chosen)
     found = []
     if lengths:
-        tested = _Filter(chosen, sum(r["n"] for r in lengths.values()))
-        cut = F.concat(*[_grams(F.col("_link"), q) for q in lengths])
-        hashed = F.transform(cut, lambda g: F.struct(g.alias("gram"), F.xxhash64(g).alias("hash")))
-        wanted = F.filter(hashed, lambda x: tested.passes(x["hash"]))
-        hit = F.explode(F.array_distinct(F.transform(wanted, lambda x: x["gram"]))).alias("_gram")
-        if sum(r["bytes"] for r in lengths.values()) <= SMALL_BYTES:
-            pairs = rows.select("_id", "_link", hit).join(F.broadcast(chosen), "_gram")
-        else:
-            # The planner doesn't see how much the links grow when cut, and must not broadcast them.
-            pairs = rows.select("_id", hit).join(chosen.hint("merge"), "_gram").join(rows, "_id")
-        found.append(pairs.filter(F.contains("_link", "_word")).select("_keyword", "_id"))
+        hit = _wanted(chosen, list(lengths))
+        small = sum(r["bytes"] for r in lengths.values()) <= SMALL_BYTES
+        # The planner doesn't see how much the links grow when cut, and must not broadcast them.
+        pairs = rows.select("_id", "_link", hit).join(F.broadcast(chosen) if small else chosen.hint("merge"), "_gram")
+        found.append(pairs.filter(F.contains("_link", "_word")).select("_keyword", "_id", "_link"))
     if not lengths or not words.filter("_word = ''").isEmpty():  # every link holds the empty keyword, which is one row
         blank = words.filter("_word = ''").select("_keyword").withColumn("_all", F.lit(0))
-        found.append(rows.withColumn("_all", F.lit(0)).join(F.broadcast(blank.limit(1)), "_all").select("_keyword", "_id"))
+        found.append(rows.withColumn("_all", F.lit(0)).join(F.broadcast(blank.limit(1)), "_all").select("_keyword", "_id", "_link"))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -165,8 +179,7 @@ def keyword_links(
     """
     whole = links.select(F.col(link).alias("_link")).filter("_link IS NOT NULL").distinct()
     whole = stage(whole.withColumn("_id", F.monotonically_increasing_id()), "links")
-    pairs = _held(keywords, whole, keyword).join(whole, "_id")
-    return pairs.select(F.col("_keyword").alias(keyword), F.col("_link").alias(link))
+    return _held(keywords, whole, keyword).select(F.col("_keyword").alias(keyword), F.col("_link").alias(link))
 
 
 def match_keywords_to_links(

@@ -234,3 +234,20 @@ def test_reach_salts_hubs_and_lays_edges_out_once(spark):
     expected = sorted([("h", 0), ("z", 2)] + [(f"n{i}", 1) for i in range(40)], key=str)
     for degree in (10, 1_000_000):
         assert rows(graph.reach(df, seeds, 5, hub_degree=degree), "url", "depth") == expected
+
+
+def test_very_many_keywords_are_pruned_and_shuffled_with_the_same_pairs(spark, monkeypatch):
+    """Keywords that share their commonest gram with no link are left out; no link is fetched by its number again."""
+    monkeypatch.setattr(linking, "MANY_GRAMS", 0)
+    monkeypatch.setattr(linking, "SMALL_BYTES", 0)
+    words = [f"Customer#{i:09}" for i in range(40)] + [f"Supplier#{i:09}" + " x" * (i % 2) for i in range(40)] + ["ab", "é", "", None]
+    links = [f"http://a/hot_Supplier#{i:09}" for i in range(30)] + ["", None, "cab", "é"]
+    table = spark.createDataFrame([(l,) for l in links], "link string")
+    keywords = spark.createDataFrame([(w,) for w in words], "keyword string")
+    expected = {(w, l) for w in words if w is not None for l in links if l is not None and w.replace(" ", "_") in l}
+    found = linking.keyword_links(keywords, table)
+    assert rows(found, "keyword", "link") == sorted(expected, key=str)
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert text.count("Join") == 2  # grams and the empty keyword
+    kept = rows(linking.match_keywords_to_links(keywords, table), "link")
+    assert kept == sorted(((l,) for l in links if l is not None), key=str)
