@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filmweave.operators import prefixes, ranked, search
+from filmweave.session import stage as search_stage
 
 FIELDS = ("title", "body")
 SCHEMA = "id long, title string, body array<string>"
@@ -91,3 +92,29 @@ def test_counts_shuffle_bitmaps_only(dictionary):
     for line in (row for row in text.split("\n") if "Exchange" in row):
         assert "group" in line or "SinglePartition" in line
     assert "EqualTo(level,2)" in text and "EqualTo(key,w1)" in text
+
+
+def test_lists_hold_numbers_that_ascend_with_the_documents(index):
+    """A long id stands once in the index, not with each term."""
+    assert dict(index.blocks.dtypes)["entries"] == "array<struct<doc:bigint,tf:bigint>>"
+    named = [r["doc"] for r in index.documents.orderBy("_number").collect()]
+    assert named == sorted(named) and len(named) == 630
+
+
+def test_text_ids_and_ties_as_in_the_full_search(spark, docs, tmp_path):
+    named = docs.withColumn("id", F.concat(F.lit("film | "), F.sha2(F.col("id").cast("string"), 256)))
+    ranked.write_blocks(named, str(tmp_path / "index"), "id", FIELDS, block=16)
+    index = ranked.BlockIndex(spark, str(tmp_path / "index"))
+    assert "film" not in str(index.blocks.first())
+    full = search.search(search.postings(named, "id", FIELDS), "w1", named.count(), FIELDS)
+    full = full.select("doc", F.round("score", 6).alias("score"))
+    for k in (1, 10, 25, 1000):
+        assert index.search("w1", k, FIELDS).collect() == search.top_hits(full, k).collect()
+
+
+def test_a_dictionary_counts_terms_once(spark, docs, tmp_path, monkeypatch):
+    """The postings are read by one job's plan; bitmaps and prefixes follow from what is staged."""
+    staged = []
+    monkeypatch.setattr(prefixes, "stage", lambda df, label: staged.append(label) or search_stage(df, label))
+    prefixes.write_dictionary(docs, str(tmp_path / "terms"), FIELDS)
+    assert staged == ["numbered", "terms"]
