@@ -20,9 +20,8 @@ def analyse(text: str) -> list[str]:
 
 def tokens(text: Column) -> Column:
     """Lower-case words of a text, without stop words and single characters, in order."""
-    stop = F.array(*[F.lit(w) for w in fixed.STOP_WORDS])
     words = all_matches(F.lower(text), fixed.TOKEN)
-    return F.filter(words, lambda w: (F.length(w) >= fixed.MIN_TOKEN) & ~F.array_contains(stop, w))
+    return F.filter(words, lambda w: (F.length(w) >= fixed.MIN_TOKEN) & ~w.isin(*fixed.STOP_WORDS))
 
 
 def _counted(words: Column) -> Column:
@@ -43,7 +42,7 @@ def _counted(words: Column) -> Column:
             ),
         )
 
-    return bind(F.array_sort(words), runs)
+    return bind(F.sort_array(words), runs)
 
 
 def postings(df: DataFrame, doc: str, fields: list[str] | tuple[str, ...]) -> DataFrame:

@@ -109,3 +109,9 @@ def test_table_functions_from_sql(spark):
     assert [tuple(r) for r in links] == [(1, "https://en.x.org/a"), (1, "https://en.y.org/b")]
     text = spark.sql("SELECT * FROM search('star', array('title'), 3)")._jdf.queryExecution().toString()
     assert "Python" not in text
+
+
+def test_words_are_sorted_and_stop_words_found_without_a_comparing_expression(spark):
+    physical = search.postings(spark.createDataFrame([(1, "the b a b")], "id int, x string"), "id", ["x"])
+    text = physical._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in text and "array_sort(" not in text and "INSET" in text and "array_contains(" not in text
