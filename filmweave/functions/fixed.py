@@ -54,6 +54,9 @@ BOX_YEAR_DAY = rf"released[{WS}]*=[{WS}]*\p{{Nd}}{{1,2}} [a-zA-Z]+ (\p{{Nd}}{{4}
 # What follows to the end of the text. A class of all characters says the same at some hundred times the cost.
 REST = r"(?s:.*)"
 
+# The same list as BOX_MUSIC_LIST, its body up to the first closing marks read that way too.
+BOX_MUSIC_BODY = rf"\|[{WS}]*music[{WS}]*=[{WS}]*\{{\{{plainlist\|((?s:.*?))\}}\}}"
+
 # Templates read by depth: a piece of text with the mark that ends it, and that mark.
 COMMENT = r"<!--[\s\S]*?-->"
 TEMPLATE_PIECE = r"[^{}\[\]|\n]*(?:\{\{|\}\}|\[\[|\]\]|[{}\[\]|\n]|\z)"

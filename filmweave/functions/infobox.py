@@ -51,7 +51,7 @@ def infobox_directors(text: Column, strict: bool = False) -> Column:
 
 def infobox_music(text: Column) -> Column:
     """Composers: one joined string per ``;`` segment of a plain list, else the linked text."""
-    body = F.rtrim(first_match(text, fixed.BOX_MUSIC_LIST), F.lit(fixed.WS_CHARS))
+    body = F.rtrim(first_match(text, fixed.BOX_MUSIC_BODY), F.lit(fixed.WS_CHARS))
     for mark in ("*", "[[", "]]"):
         body = F.replace(body, F.lit(mark), F.lit(""))
     body = collapse_ws(strip(F.replace(body, F.lit("\n"), F.lit(", "))))

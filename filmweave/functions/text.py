@@ -37,8 +37,11 @@ def clean_text(c: Column) -> Column:
 
 
 def split_trimmed(c: Column, separator: str) -> Column:
-    """Split on a one-character separator, the parts trimmed: separators take the whitespace around them."""
-    return F.split(strip(c), f"[{fixed.WS}]*{separator}[{fixed.WS}]*")
+    """Split on a one-character separator, the parts trimmed: separators take the whitespace around them.
+
+    A pattern to split on is compiled for every row, one to replace once; a plain separator needs none.
+    """
+    return F.split(F.regexp_replace(strip(c), f"[{fixed.WS}]*{separator}[{fixed.WS}]*", separator), separator)
 
 
 def split_directors(c: Column) -> Column:

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.text import overlap_or_unknown
 from ..session import stage
 
-ANY_DIRECTOR = "*"
+ANY_DIRECTOR = "*"  # key of catalogue rows with unknown directors; a director's key begins with a mark of its own
+BY_TITLE = ""  # key of rows under a title of few catalogue rows
+FEW_ROWS = 8  # catalogue rows under a title that each of its encyclopedia rows may be tested against
 
 
 def _director_keys(directors: Column) -> Column:
@@ -18,6 +21,24 @@ def _director_keys(directors: Column) -> Column:
     return F.transform(F.array_distinct(directors), lambda d: F.concat(F.lit("="), d))
 
 
+def _catalogue_keys() -> Column:
+    unknown = F.array_contains("director_list", fixed.UNKNOWN)
+    return F.when(unknown, F.array(F.lit(ANY_DIRECTOR))).otherwise(_director_keys(F.col("director_list")))
+
+
+def _wiki_keys() -> Column:
+    return F.concat(F.array(F.lit(ANY_DIRECTOR)), _director_keys(F.col("director_wiki")))
+
+
+def _by_key(left: DataFrame, right: DataFrame, *others: Column) -> DataFrame:
+    """Rows that meet under a title and a key, at the first director they share or for one of the ``others``."""
+    # A missing name is no name: it matches nothing and doesn't hide the names behind it.
+    shared = F.array_intersect(F.array_compact("director_list"), F.array_compact("director_wiki"))
+    first_shared = F.concat(F.lit("="), F.get(shared, F.lit(0)))
+    counts = reduce(Column.__or__, others, (F.col("_left") == ANY_DIRECTOR) | (F.col("_left") == first_shared))
+    return left.join(right, (F.col("title") == F.col("title_wiki")) & (F.col("_left") == F.col("_right")) & counts)
+
+
 def matching_pairs(catalogue: DataFrame, wiki: DataFrame) -> DataFrame:
     """All pairs with equal titles and a shared director, or unknown directors on the catalogue side.
 
@@ -27,40 +48,47 @@ def matching_pairs(catalogue: DataFrame, wiki: DataFrame) -> DataFrame:
     that shares several directors meets several times and counts at the first one. What remains hot is a
     key whose pairs are all results; AQE splits it on both sides, since the join is an inner one.
     """
-    any_key = F.lit(ANY_DIRECTOR)
-    left = catalogue.withColumn(
-        "_left",
-        F.explode(
-            F.when(F.array_contains("director_list", fixed.UNKNOWN), F.array(any_key)).otherwise(
-                _director_keys(F.col("director_list"))
-            )
-        ),
-    )
-    right = wiki.withColumn(
-        "_right", F.explode(F.concat(F.array(any_key), _director_keys(F.col("director_wiki"))))
-    )
-    # A missing name is no name: it matches nothing and doesn't hide the names behind it.
-    shared = F.array_intersect(F.array_compact("director_list"), F.array_compact("director_wiki"))
-    first_shared = F.concat(F.lit("="), F.get(shared, F.lit(0)))
-    pairs = left.join(
-        right,
-        (F.col("title") == F.col("title_wiki"))
-        & (F.col("_left") == F.col("_right"))
-        & ((F.col("_left") == any_key) | (F.col("_left") == first_shared)),
-    )
-    return pairs.select(*catalogue.columns, *wiki.columns)
+    left = catalogue.withColumn("_left", F.explode(_catalogue_keys()))
+    right = wiki.withColumn("_right", F.explode(_wiki_keys()))
+    return _by_key(left, right).select(*catalogue.columns, *wiki.columns)
+
+
+def _overlap() -> Column:
+    """Whether two rows of a title are a pair."""
+    return F.col("director_wiki").isNotNull() & overlap_or_unknown(F.col("director_list"), F.col("director_wiki"))
+
+
+def _pairs(films: DataFrame, wiki: DataFrame) -> DataFrame:
+    """:func:`matching_pairs` of ``films`` (staged) with each encyclopedia row shuffled once. Runs a job.
+
+    Under a title of few catalogue rows the overlap is tested behind a join on the title: an encyclopedia row then meets
+    :data:`FEW_ROWS` at most. Only under the other titles do directors become keys; there may be none.
+    """
+    crowded = films.where("title IS NOT NULL").groupBy("title").agg(F.count(F.lit(1)).alias("_n"))
+    crowded = stage(crowded.where(F.col("_n") > FEW_ROWS).select("title", F.lit(True).alias("_crowded")), "crowded")
+    if crowded.isEmpty():
+        return films.join(wiki, (F.col("title") == F.col("title_wiki")) & _overlap())
+
+    def keys(own: Column) -> Column:
+        return F.explode(F.when(F.col("_crowded"), own).otherwise(F.array(F.lit(BY_TITLE))))
+
+    left = films.join(crowded, "title", "left").withColumn("_left", keys(_catalogue_keys())).drop("_crowded")
+    right = wiki.join(crowded.withColumnRenamed("title", "title_wiki"), "title_wiki", "left")
+    right = right.withColumn("_right", keys(_wiki_keys())).drop("_crowded")
+    return _by_key(left, right, (F.col("_left") == BY_TITLE) & _overlap()).select(*films.columns, *wiki.columns)
 
 
 def link_catalogue(catalogue: DataFrame, wiki: DataFrame) -> DataFrame:
-    """Left outer join of the catalogue with all its encyclopedia partners. Runs a job when called.
+    """Left outer join of the catalogue with all its encyclopedia partners. Runs jobs when called.
 
-    Every given column is staged with the pairs, so leave out those that aren't read later.
-    The pairs are staged once, so the encyclopedia is read once. Whether a row has partners depends only
+    Every given column is staged with the catalogue and the pairs, so leave out those that aren't read later.
+    Both are staged once, so catalogue and encyclopedia are read once. Whether a row has partners depends only
     on its title and directors, so the rest is an anti join on those.
     """
-    pairs = stage(matching_pairs(catalogue, wiki), "pairs")
+    films = stage(catalogue, "films")
+    pairs = stage(_pairs(films, wiki), "pairs")
     key = ["title", "director_list"]
-    rest = catalogue.join(pairs.select(*key).distinct(), key, "left_anti").select(*catalogue.columns)
+    rest = films.join(pairs.select(*key).distinct(), key, "left_anti").select(*films.columns)
     return pairs.unionByName(rest, allowMissingColumns=True)
 
 
