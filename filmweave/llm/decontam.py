@@ -7,8 +7,9 @@ lower-cased and stripped of punctuation at their ends.
 Search, for each item length ``n`` of the benchmark, over the windows at every word of every text, of ``n + k`` words or
 up to the text's end:
 
-1. A part within ``k`` edits shares at least ``n - 1 - 2k`` neighbouring word pairs with the item. Windows with fewer
-   pairs out of all items of that length can match none of them and aren't embedded; this loses no match.
+1. A part within ``k`` edits shares at least ``n - 1 - 2k`` neighbouring word pairs with the item. Windows that share
+   fewer with each item of that length can match none of them and aren't embedded; this loses no match. Where pairs
+   stand in very many items, they are counted out of all items of the length together, which loses none either.
 2. The CGK walk embeds a window: a random bit per step and word says whether the walk moves on. Edits become few
    differing steps. ``WALKS`` walks, each with ``TABLES`` samples of ``SAMPLED`` steps, give the keys; a window and an
    item with any key in common are a candidate. The numbers are set so that pairs at the very bound are found with
@@ -41,6 +42,7 @@ EDITS = 0.2  # of an item's words
 LEAST_WORDS = 8
 WALKS, TABLES, SAMPLED = 6, 6, 1
 BLOCK_WORDS = 200_000  # words of the benchmark in one pass
+ITEMS_PER_PAIR = 8  # items that a met pair stands in, on average, up to which pairs are counted by item
 SEED = 99
 _MARKS = string.punctuation + "\u00a1\u00a7\u00ab\u00b6\u00b7\u00bb\u00bf\u2010\u2011\u2012\u2013\u2014\u2018\u2019\u201a\u201c\u201d\u201e\u2022\u2026\u3001\u3002"
 
@@ -76,9 +78,15 @@ def embed(windows: np.ndarray, sizes: np.ndarray, walk: int) -> np.ndarray:
     end = base + sizes
     at = base.copy()
     out = np.empty((2 * width, count), windows.dtype)
+    least = flat.min(initial=0)
+    known = np.arange(least, flat.max(initial=0) + 1)
+    if len(known) <= len(flat):  # windows overlap, so most words are hashed once instead of many times
+        words, places = known, flat - least
+    else:
+        words, places = flat, slice(None)
     for step in range(2 * width):
         if step % 32 == 0:  # a bit for each word and each of the next steps
-            bits = (_hash_of(flat + 3, SEED + 1000 * walk + step // 32) >> np.uint64(32)).astype(np.int64)
+            bits = (_hash_of(words + 3, SEED + 1000 * walk + step // 32) >> np.uint64(32)).astype(np.uint32)[places]
         out[step] = flat.take(at)
         at += (bits.take(at) >> (step % 32)) & 1
         np.minimum(at, end, out=at)
@@ -131,20 +139,38 @@ def edit_distances(items: np.ndarray, sizes: np.ndarray, windows: np.ndarray, mo
     return out
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """Word pairs of the items of one length, in order, and from ``first`` of each on the items it stands in."""
+
+    table: np.ndarray
+    first: np.ndarray
+    items: np.ndarray
+
+
 @dataclass(frozen=True)
 class Block:
     """Items of one pass, by length: their words as numbers, their word pairs, and their keys in order."""
 
     vocabulary: pa.Array
     pairs: np.ndarray
-    pairs_by_length: dict[int, np.ndarray]
+    pairs_by_length: dict[int, Pairs]
     ids: list[int | None]
     rows: np.ndarray
     sizes: np.ndarray
+    keys: np.ndarray
     sorted_keys: np.ndarray
     owners: np.ndarray
 
 
+def _pairs(found: list[tuple[int, np.ndarray]]) -> Pairs:
+    found = [(i, np.unique(own)) for i, own in found]
+    pairs = np.concatenate([own for _, own in found])
+    items = np.repeat([i for i, _ in found], [len(own) for _, own in found])
+    table, first = np.unique(np.sort(pairs), return_index=True)
+    return Pairs(table, np.append(first, len(pairs)), items[np.argsort(pairs, kind="stable")].astype(np.int32))
+
+
 def prepare(items: list[tuple[int | None, str | None]]) -> Block:
     words = [(item, item_words(text)) for item, text in items]
     words = [(item, w) for item, w in words if w]
@@ -157,13 +183,14 @@ def prepare(items: list[tuple[int | None, str | None]]) -> Block:
         coded = np.array([vocabulary[x] for x in w], np.int64)
         rows[i, : len(w)] = coded
         # Items of one word have no pairs; the word stands for them.
-        by_length.setdefault(len(w), []).append(coded[:-1] * size + coded[1:] if len(w) > 1 else -1 - coded)
-    by_length = {n: np.unique(np.concatenate(found)) for n, found in sorted(by_length.items())}
-    flat = keys(rows, sizes).ravel()
+        by_length.setdefault(len(w), []).append((i, coded[:-1] * size + coded[1:] if len(w) > 1 else -1 - coded))
+    by_length = {n: _pairs(found) for n, found in sorted(by_length.items())}
+    own = keys(rows, sizes)
+    flat = own.ravel()
     order = np.argsort(flat, kind="stable")
-    pairs = np.unique(np.concatenate(list(by_length.values()))) if by_length else np.empty(0, np.int64)
+    pairs = np.unique(np.concatenate([p.table for p in by_length.values()])) if by_length else np.empty(0, np.int64)
     ids = [item for item, _ in words]
-    return Block(pa.array(list(vocabulary), pa.large_string()), pairs, by_length, ids, rows, sizes, flat[order], order // (WALKS * TABLES))
+    return Block(pa.array(list(vocabulary), pa.large_string()), pairs, by_length, ids, rows, sizes, own, flat[order], order // (WALKS * TABLES))
 
 
 def _within(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -172,19 +199,60 @@ def _within(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.searchsorted(table, values).clip(0, len(table) - 1)] == values
 
 
-def _starts(hits: np.ndarray, n: int, least: int) -> np.ndarray:
-    """Starts, from the first word on, of windows of ``n`` words with at least ``least`` of the places ``hits`` (in order) among their pairs."""
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in order."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def _repeated(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Runs of ``many`` numbers from ``first`` on, one behind the other."""
+    return np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+
+
+def _starts(hits: np.ndarray, owners: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts, from the first word on, of windows of ``n`` words with at least ``least`` of an owner's ``hits`` among their pairs, and the owners.
+
+    ``hits`` are in order within each owner, owners are in order.
+    """
     least = max(least, 1)
     span = max(n - 1, 1)
     if len(hits) < least:
-        return np.empty(0, np.int64)
-    first, last = hits[: len(hits) - least + 1], hits[least - 1 :]
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    first, last, owner = hits[: len(hits) - least + 1], hits[least - 1 :], owners[: len(hits) - least + 1]
     low, high = last - span + 1, first
-    good = low <= high
-    low, high = low[good], high[good]
-    many = high - low + 1
-    starts = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    return np.unique(starts[starts >= 0])
+    good = (low <= high) & (owner == owners[least - 1 :])
+    low, high, owner = np.maximum(low[good], 0), high[good], owner[good]
+    # Runs of an owner overlap: each begins behind the one before.
+    low[1:] = np.where(owner[1:] == owner[:-1], np.maximum(low[1:], high[:-1] + 1), low[1:])
+    many = np.maximum(high - low + 1, 0)
+    return _repeated(low, many), np.repeat(owner, many)
+
+
+def _likely(both: np.ndarray, pair: np.ndarray, pairs: Pairs, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of windows with enough of an item's pairs, and the item, or -1 if pairs are of too many items to tell them.
+
+    The words at ``both`` and behind are ``pair``.
+    """
+    at = np.searchsorted(pairs.table, pair).clip(0, len(pairs.table) - 1)
+    own = pairs.table[at] == pair
+    hits, at = both[own], at[own]
+    owners = np.full(len(hits), -1)
+    many = pairs.first[at + 1] - pairs.first[at]
+    if many.sum() <= ITEMS_PER_PAIR * len(hits):
+        owners = pairs.items[_repeated(pairs.first[at], many)]
+        order = np.argsort(owners, kind="stable")
+        hits, owners = np.repeat(hits, many)[order], owners[order]
+    return _starts(hits, owners, n + allowed(n), n - 1 - 2 * allowed(n))
+
+
+def _candidates(mine: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Windows and items with a key in common, each pair once."""
+    low = np.searchsorted(block.sorted_keys, mine, side="left")
+    many = (np.searchsorted(block.sorted_keys, mine, side="right") - low).ravel()
+    window = np.repeat(np.repeat(np.arange(len(mine)), mine.shape[1]), many)
+    found = _distinct(window * np.int64(len(block.ids)) + block.owners[_repeated(low.ravel(), many)])
+    return found // len(block.ids), found % len(block.ids)
 
 
 def find(texts: pa.Array, block: Block) -> list[list[dict]]:
@@ -205,21 +273,28 @@ def find(texts: pa.Array, block: Block) -> list[list[dict]]:
     ends = starts[1:]
     lasts = np.repeat(ends, np.diff(starts))  # for each word the end of its text
 
-    found, sizes = [], []
-    for n, table in block.pairs_by_length.items():
+    found, items, sizes = [], [], []
+    for n, pairs in block.pairs_by_length.items():
         if n > 1:
-            some = _starts(both[_within(pair, table)], n + allowed(n), n - 1 - 2 * allowed(n))
+            some, item = _likely(both, pair, pairs, n)
         else:
-            some = np.flatnonzero(_within(-1 - words, table) & (words >= 0))
-        some = some[some < len(words)]
-        some = some[lasts[some] - some >= n - allowed(n)]
-        found.append(some)
-        sizes.append(np.full(len(some), n))
-    found, sizes = np.concatenate(found or [np.empty(0, np.int64)]), np.concatenate(sizes or [np.empty(0, np.int64)])
+            some = np.flatnonzero(_within(-1 - words, pairs.table) & (words >= 0))
+            item = np.full(len(some), -1)
+        inside = some < len(words)
+        some, item = some[inside], item[inside]
+        inside = lasts[some] - some >= n - allowed(n)
+        order = np.argsort(some[inside], kind="stable")
+        found.append(some[inside][order])
+        items.append(item[inside][order])
+        sizes.append(np.full(len(order), n))
+    found, items, sizes = (np.concatenate(x or [np.empty(0, np.int64)]) for x in (found, items, sizes))
 
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for part in range(0, len(found), 8192):
-        begin, n = found[part : part + 8192], sizes[part : part + 8192]
+        start, n = found[part : part + 8192], sizes[part : part + 8192]
+        new = np.append(True, (start[1:] != start[:-1]) | (n[1:] != n[:-1]))  # windows that are likely for several items are embedded once
+        window = np.cumsum(new) - 1
+        begin, n, likely = start[new], n[new], items[part : part + 8192]
         most = np.array([allowed(x) for x in range(n.max() + 1)], np.int64)[n]
         columns = np.arange((n + most).max())  # lengths are in order, so most batches are narrow
         room = np.minimum(n + most, lasts[begin] - begin)
@@ -227,16 +302,16 @@ def find(texts: pa.Array, block: Block) -> list[list[dict]]:
         filled = np.minimum(n, room)
         columns = columns[: n.max()]
         mine = keys(np.where(columns < filled[:, None], windows[:, : len(columns)], -2), n, filled)
-        low = np.searchsorted(block.sorted_keys, mine, side="left")
-        many = (np.searchsorted(block.sorted_keys, mine, side="right") - low).ravel()
-        window = np.repeat(np.repeat(np.arange(len(begin)), mine.shape[1]), many)
-        place = np.repeat(low.ravel(), many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        candidates = np.unique(window * np.int64(len(block.ids)) + block.owners[place])
-        for chunk in range(0, len(candidates), 65536):
-            some = candidates[chunk : chunk + 65536]
-            w, i = some // len(block.ids), some % len(block.ids)
-            same = block.sizes[i] == n[w]
-            w, i = w[same], i[same]
+        told = likely >= 0
+        known, items_known = window[told], likely[told]
+        common = (mine[known] == block.keys[items_known]).any(axis=1)
+        open_ = window[~told]  # of any item: looked up by key
+        w, i = _candidates(mine[open_], block)
+        all_w, all_i = np.concatenate([known[common], open_[w]]), np.concatenate([items_known[common], i])
+        same = block.sizes[all_i] == n[all_w]
+        all_w, all_i = all_w[same], all_i[same]
+        for chunk in range(0, len(all_w), 65536):
+            w, i = all_w[chunk : chunk + 65536], all_i[chunk : chunk + 65536]
             edits = edit_distances(block.rows[i], block.sizes[i], windows[w], most[w])
             for at in np.flatnonzero(edits <= most[w]):
                 text = int(np.searchsorted(ends, begin[w[at]], side="right"))
