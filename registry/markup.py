@@ -38,7 +38,7 @@ LISTED = """CASE WHEN txt IS NULL THEN CAST([] AS VARCHAR[])
 
 
 def _films(spark, sf_dir):
-    return film_pages(inputs.load(spark, sf_dir, inputs.WIKI_PAGES), "txt").select("k", "s", "title")
+    return film_pages(inputs.wiki_pages(spark, sf_dir), "txt").select("k", "s", "title")
 
 
 CHECKS.queries["film_pages"] = _films
@@ -61,7 +61,7 @@ CHECKS.column("infobox_release_year_strict", inputs.WIKI_PAGES, lambda: infobox.
 
 
 def _infobox(spark, sf_dir):
-    rows = extract_infobox(film_pages(inputs.load(spark, sf_dir, inputs.WIKI_PAGES), "txt"), "txt")
+    rows = extract_infobox(film_pages(inputs.wiki_pages(spark, sf_dir), "txt"), "txt")
     return rows.select(
         "title_wiki",
         F.array_join("director_wiki", "|").alias("director_wiki"),

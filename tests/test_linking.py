@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from filmweave.functions import fixed, infobox, text
 from filmweave.operators import linking
 from filmweave.session import stage
+from registry import linking as queries
 
 LEFT = "title string, director_list array<string>, year int"
 RIGHT = "title_wiki string, director_wiki array<string>, music array<string>, release string"
@@ -77,3 +78,9 @@ def _with(pattern):
             fixed.BOX_MUSIC_BODY = held
 
     return run
+
+
+def test_a_generated_page_is_built_once(spark):
+    """Pushed into the join beneath, the film test built it again for each of its two conditions."""
+    shown = queries.wiki(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("About Infobox film markup") == 1
