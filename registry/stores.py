@@ -23,8 +23,11 @@ def _escaped(c):
     return c
 
 
+PAGES_PER_FILE = 200_000  # of a written dump: a compressed file is read by one task
+
+
 def _page_dump(spark, sf_dir):
-    """Write the encyclopedia pages as an XML dump, scan it, keep what the scan gives."""
+    """Write the encyclopedia pages as an XML dump, compressed as real dumps are, scan it, keep what the scan gives."""
     path = staging_path(spark, "dump")
     rows = inputs.load(spark, sf_dir, inputs.WIKI_PAGES)
     xml = F.concat(
@@ -32,7 +35,8 @@ def _page_dump(spark, sf_dir):
         F.lit('      <id>1</id><text bytes="9" xml:space="preserve">'), _escaped(F.col("txt")),
         F.lit("</text>\n    </revision>\n  </page>"),
     )
-    rows.select(xml.alias("value")).write.text(path)
+    dump_rows = rows.select(xml.alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", PAGES_PER_FILE)
+    dump_rows.text(path)
     pages_read = dump.scan_page_dump(spark, path)
     return pages_read.select("title", F.col("revision.text._VALUE").alias("txt"))
 

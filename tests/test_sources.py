@@ -1,11 +1,16 @@
 """Scans and sinks over small files."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from filmweave.functions.sql import register_functions
 from filmweave.functions import infobox, text
 from filmweave.session import stage, staging_root
 from filmweave.sources import dump, sinks, tables
+from registry import inputs, stores
+
+SF = "/root/testdata/sf0.001"
 
 HEAD = '<mediawiki xmlns="http://x.org/" xml:lang="en">\n  <siteinfo><sitename>W</sitename></siteinfo>\n'
 
@@ -110,3 +115,14 @@ def test_dump_text_over_several_lines(spark, tmp_path):
         "</doc>\n<doc>\r\n<title>two</title>\r\n \n</doc>\n"
     )
     assert [r.text for r in dump.scan_dump_text(spark, str(path)).collect()] == ["keep  x", "two"]
+
+
+def test_the_dump_of_the_query_is_written_compressed_and_scanned_whole(spark):
+    def written():
+        root = staging_root(spark).removeprefix("file:")
+        return {os.path.join(d, n) for d, _, names in os.walk(root) for n in names if "/dump-" in d and n.startswith("part-")}
+
+    before = written()
+    assert stores._page_dump(spark, SF).count() == inputs.load(spark, SF, inputs.WIKI_PAGES).count()
+    fresh = written() - before
+    assert fresh and all(n.endswith(".txt.gz") for n in fresh)
