@@ -6,15 +6,20 @@ axes. Each block gets a share of the squared distance in proportion to its varia
 is within its share in some block, or the shares would not add up; so the union of the blocks' range joins holds every
 link, whatever the rotation and the shares.
 
-The range join of a block cuts its leading axes at quantiles of the sample into cells, more of them the more vectors
-there are. A vector lies in one cell and asks in all whose box its ball of the block's radius meets. A cell with more than
-``MOST`` vectors is dealt into parts, each asked on its own. Within a task the vectors of one part are held and those that
-ask stream by; block distances pick the candidates, the exact cosine in double precision decides. A link that
-several blocks find counts in the first of them only, which the pair's own distances tell. No pair leaves a task: each
-vector gives its number of links, and a label for the links' components.
+Vectors travel by regions, not by the cells of each block: the leading axes of the whole space are cut at quantiles of the
+sample, a vector lies in one region and its ball of the whole radius meets some. A region with more vectors than a task
+may hold is dealt into parts. Of two parts that may have links with each other one asks in the other, so that each is asked
+by about half of the others; within a part the vectors ask each other. That is one row a vector and one for each part it asks in,
+which are ``REGIONS`` at least and grow with the bytes of all vectors, however the blocks are cut.
 
-Equal vectors are one class before all this. Rows grow with the vectors and the cells they ask in; where the variance
-of a block is spread evenly over its axes that is a fixed share of the cells (see the README).
+Within a task the vectors of one part are held and those that ask stream by. The range join of a block cuts its leading
+axes at quantiles into cells, more of them the more vectors are held. A held vector lies in one cell, and one that asks
+does so in all whose box its ball of the block's radius meets. Block distances pick the candidates, the exact cosine in
+double precision decides. A link that several blocks find counts in the first of them only, which the pair's own distances
+tell. No pair leaves a task: each vector gives its number of links, and a label for the links' components.
+
+Equal vectors are one class before all this. Where the variance is spread evenly over the axes a ball meets most regions and
+more than half of the cells (see the README).
 
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite components link with nothing; vectors of
 different lengths don't link; equal vectors link with each other; rows with the same or a NULL ``vec_id`` count as
@@ -36,13 +41,18 @@ from .components import components
 
 COSINE = 0.95
 BLOCKS = 4
-MOST = 8192  # vectors of a cell that a task holds
+MOST = 65536  # vectors that a task holds, fewer where they are long
+HELD_BYTES = 32 << 20  # of the vectors that a task holds, in double precision
+REGIONS = 16  # of the whole space at least, so that small inputs have tasks enough
 SAMPLE = 4096  # vectors for the axes, the shares and the cuts: bounds what goes to the driver, not what is compared
 SEED = 12
 _SLACK = 1e-9  # rounding of distances; candidates may be a little farther than they should
-_ASKING = 256  # vectors compared at once
+_CELL = 512  # held vectors to a cell, about
+_ASKING = 2048  # vectors that ask at once
+_DISTANCES = 1 << 20  # block distances at once
 _PAIRS = 1 << 15  # candidates verified at once
-_ROUTED = "block int, cell long, asks boolean, node long, n long, vec binary"
+_NOTED = 1 << 20  # links noted at once, about
+_ROUTED = "slot int, asks boolean, node long, n long, vec binary"
 _FOUND = "node long, links long, label long"
 
 
@@ -106,63 +116,134 @@ def _floats(packed: list[bytes], kind: str) -> np.ndarray:
     return raw / np.sqrt(np.einsum("ij,ij->i", raw, raw))[:, None]
 
 
-def _route(spaces: Subspaces, kind: str):
+class Parts:
+    """The slots of the regions, one for each part: tells who is held where and who asks where."""
+
+    def __init__(self, regions: Subspaces, counts: dict[int, int], most: int) -> None:
+        self.regions = regions
+        self.known = np.array(sorted(counts), np.int64)
+        self.width = np.array([-(-counts[c] // most) for c in self.known], np.int64)
+        self.first = np.cumsum(np.r_[0, self.width])[:-1]
+        self.total = int(self.width.sum())
+
+    def held(self, points: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.known, self.regions.home(0, points))
+        dealt = (nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        return self.first[at] + dealt.astype(np.int64) % self.width[at]
+
+    def asked(self, points: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``row, slot``: of two slots one asks, the lesser one where their sum is even."""
+        row, region = self.regions.asked(0, points)
+        at = np.minimum(np.searchsorted(self.known, region), len(self.known) - 1)
+        some = self.known[at] == region
+        row, at = row[some], at[some]
+        times = self.width[at]
+        slot = np.repeat(self.first[at] - np.cumsum(np.r_[0, times])[:-1], times) + np.arange(times.sum())
+        row = np.repeat(row, times)
+        mine = own[row]
+        asks = (slot != mine) & ((mine < slot) ^ ((mine + slot) % 2 == 1))
+        return row[asks], slot[asks]
+
+
+def _home(regions: Subspaces, kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2048):
+                units = _floats(batch.column("vec").slice(start, 2048).to_pylist(), kind)
+                yield pa.RecordBatch.from_arrays([pa.array(regions.home(0, units @ regions.rotation))], names=["region"])
+
+    return run
+
+
+def _route(parts: Parts, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                rotated = _floats(part.column("vec").to_pylist(), kind) @ spaces.rotation
-                for b, block in enumerate(spaces.blocks):
-                    points = rotated[:, block]
-                    row, cell = spaces.asked(b, points)
-                    rows = pa.array(np.concatenate([np.arange(len(points)), row]))
-                    taken = part.select(["node", "n", "vec"]).take(rows)
-                    asks = np.r_[np.zeros(len(points), bool), np.ones(len(row), bool)]
-                    cells = np.concatenate([spaces.home(b, points), cell])
-                    columns = [pa.array(np.full(len(rows), b, np.int32)), pa.array(cells), pa.array(asks), *taken.columns]
-                    yield pa.RecordBatch.from_arrays(columns, names=["block", "cell", "asks", "node", "n", "vec"])
+                points = _floats(part.column("vec").to_pylist(), kind) @ parts.regions.rotation
+                own = parts.held(points, part.column("node").to_numpy())
+                row, slot = parts.asked(points, own)
+                taken = part.select(["node", "n", "vec"]).take(pa.array(np.concatenate([np.arange(len(own)), row])))
+                asks = np.r_[np.zeros(len(own), bool), np.ones(len(row), bool)]
+                slots = pa.array(np.concatenate([own, slot]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([slots, pa.array(asks), *taken.columns], names=["slot", "asks", "node", "n", "vec"])
 
     return run
 
 
 class Part:
-    """The held vectors of one part of a cell, and what those that ask have found among them."""
+    """The held vectors of one part by the cells of each block, and what those that ask have found among them."""
 
-    def __init__(self, spaces: Subspaces, kind: str, block: int, nodes: np.ndarray, counts: np.ndarray, packed: list[bytes]) -> None:
-        self.spaces, self.kind, self.block, self.nodes, self.counts = spaces, kind, block, nodes, counts
+    def __init__(self, spaces: Subspaces, kind: str, nodes: np.ndarray, counts: np.ndarray, packed: list[bytes]) -> None:
+        self.spaces, self.kind, self.nodes, self.counts, self.packed = spaces, kind, nodes, counts, packed
         self.units = _floats(packed, kind)
         self.turned = self.units @ spaces.rotation
-        points = self.turned[:, spaces.blocks[block]]
-        self.points, self.squares = points, np.einsum("ij,ij->i", points, points)
+        self.blocks = []
+        for b, block in enumerate(spaces.blocks):
+            points = self.turned[:, block]
+            cell = spaces.home(b, points)
+            order = np.argsort(cell, kind="stable")
+            cells, starts = np.unique(cell[order], return_index=True)
+            points = np.ascontiguousarray(points[order])
+            self.blocks.append((order, cells, np.r_[starts, len(order)], points, np.einsum("ij,ij->i", points, points)))
         self.links, self.labels = np.zeros(len(nodes), np.int64), nodes.copy()
 
-    def ask(self, nodes: np.ndarray, counts: np.ndarray, packed: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def among(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """What the held vectors find among each other. Both ends ask; the greater one's question counts."""
+        for at in range(0, len(self.nodes), _ASKING):
+            some = slice(at, at + _ASKING)
+            yield from self.ask(self.nodes[some], self.counts[some], self.packed[some], among=True)
+
+    def ask(self, nodes: np.ndarray, counts: np.ndarray, packed: list[bytes], among: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """``node, links, label`` of those that ask and of held ones whose label has changed."""
+        for at in range(0, len(nodes), _ASKING):
+            some = slice(at, at + _ASKING)
+            noted, size = [], 0
+            for i, j in self._found(nodes[some], packed[some], among):
+                noted.append((i, j))
+                size += len(i)
+                if size >= _NOTED:
+                    yield self._note(nodes[some], counts[some], *map(np.concatenate, zip(*noted, strict=True)))
+                    noted, size = [], 0
+            if noted:
+                yield self._note(nodes[some], counts[some], *map(np.concatenate, zip(*noted, strict=True)))
+
+    def _found(self, nodes: np.ndarray, packed: list[bytes], among: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Links as pairs of places, among those that ask and among the held, each once."""
         units = _floats(packed, self.kind)
         turned = units @ self.spaces.rotation
-        points = turned[:, self.spaces.blocks[self.block]]
-        near = self.spaces.shares[self.block] + 2 * _SLACK
-        for at in range(0, len(nodes), _ASKING):
-            some = points[at : at + _ASKING]
-            distance = np.einsum("ij,ij->i", some, some)[:, None] + self.squares - 2 * (some @ self.points.T)
-            i, j = np.nonzero(distance <= near)
-            i = i + at
-            # Both ends ask; the greater one's question counts.
-            later = nodes[i] > self.nodes[j]
-            i, j = i[later], j[later]
-            if len(i):
-                i, j = self._verified(units, turned, i, j)
-            if len(i):
-                yield self._note(nodes, counts, i, j)
-
-    def _verified(self, units: np.ndarray, turned: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        for b, block in enumerate(self.spaces.blocks):
+            order, cells, starts, held, squares = self.blocks[b]
+            points = np.ascontiguousarray(turned[:, block])
+            own = np.einsum("ij,ij->i", points, points)
+            near = self.spaces.shares[b] + 2 * _SLACK
+            row, cell = self.spaces.asked(b, points)
+            by = np.argsort(cell, kind="stable")
+            row, cell = row[by], cell[by]
+            for c, low, high in zip(cells, starts[:-1], starts[1:], strict=True):
+                asking = row[np.searchsorted(cell, c, "left") : np.searchsorted(cell, c, "right")]
+                for first in range(low, high, _ASKING):
+                    last = min(first + _ASKING, high)
+                    step = max(1, _DISTANCES // (last - first))
+                    for at in range(0, len(asking), step):
+                        some = asking[at : at + step]
+                        distance = own[some][:, None] + squares[first:last] - 2 * (points[some] @ held[first:last].T)
+                        i, j = np.nonzero(distance <= near)
+                        i, j = some[i], order[first + j]
+                        if among:
+                            later = nodes[i] > self.nodes[j]
+                            i, j = i[later], j[later]
+                        if len(i):
+                            yield self._verified(b, units, turned, i, j)
+
+    def _verified(self, block: int, units: np.ndarray, turned: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         kept = np.zeros(len(i), bool)
         for at in range(0, len(i), _PAIRS):
             a, b = i[at : at + _PAIRS], j[at : at + _PAIRS]
             linked = np.flatnonzero(np.einsum("ij,ij->i", units[a], self.units[b]) >= self.spaces.cosine)
             apart = turned[a[linked]] - self.turned[b[linked]]
             within = np.add.reduceat(apart * apart, self.spaces.starts, axis=1) <= self.spaces.shares + _SLACK
-            kept[at + linked[within.argmax(axis=1) == self.block]] = True
+            kept[at + linked[within.argmax(axis=1) == block]] = True
         return i[kept], j[kept]
 
     def _note(self, nodes: np.ndarray, counts: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,32 +277,41 @@ def _join(spaces: Subspaces, kind: str):
     def out(rows) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=["node", "links", "label"])
 
+    def made(held: list) -> Part:
+        return Part(spaces, kind, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), [v for h in held for v in h[2]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, part = None, [], None
+        slot, held, part = None, [], None
+
+        def ready() -> Iterator[pa.RecordBatch]:
+            nonlocal held, part
+            part, held = made(held), []
+            yield from map(out, part.among())
+
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("block", "cell", "part")], axis=1)
+            slots = batch.column("slot").to_numpy()
             asks = batch.column("asks").to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1) | (asks[1:] != asks[:-1])) + 1
+            edges = np.flatnonzero((slots[1:] != slots[:-1]) | (asks[1:] != asks[:-1])) + 1
             for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
                 if a == b:
                     continue
-                if key != tuple(keys[a]):
+                if slot != slots[a]:
+                    if held:
+                        yield from ready()
                     if part is not None:
                         yield out(part.rows())
-                    key, held, part = tuple(keys[a]), [], None
+                    slot, part = slots[a], None
                 run_ = batch.slice(a, b - a)
                 rows = (run_.column("node").to_numpy(), run_.column("n").to_numpy(), run_.column("vec").to_pylist())
                 if not asks[a]:
                     held.append(rows)
                     continue
-                if part is None:
-                    if not held:
-                        continue
-                    part = Part(spaces, kind, int(keys[a][0]), np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]),
-                                [v for h in held for v in h[2]])
-                    held = []
-                for found in part.ask(*rows):
-                    yield out(found)
+                if held:
+                    yield from ready()
+                if part is not None:
+                    yield from map(out, part.ask(*rows))
+        if held:
+            yield from ready()
         if part is not None:
             yield out(part.rows())
 
@@ -254,15 +344,15 @@ def links_of(classes: DataFrame, kind: str, cosine: float = COSINE, blocks: int
         some = classes.where(F.octet_length("vec") == size)
         total = some.count()
         sample = some.orderBy(F.xxhash64(F.lit(SEED), F.col("vec")), "vec").limit(SAMPLE).select("vec").collect()
-        spaces = Subspaces(_floats([bytes(r["vec"]) for r in sample], kind), max(1, -(-2 * total // most)), cosine, blocks)
-        routed = stage(some.select("node", "n", "vec").mapInArrow(_route(spaces, kind), _ROUTED), "routed")
-        held = routed.where("NOT asks").groupBy("block", "cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
-        parts = F.when(F.col("asks"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
-            F.array((F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("node")), F.col("parts"))).cast("int"))
-        )
-        dealt = routed.join(held, ["block", "cell"]).withColumn("part", F.explode(parts)).drop("parts")
-        dealt = dealt.repartition("block", "cell", "part").sortWithinPartitions("block", "cell", "part", "asks")
-        found.append(stage(dealt.mapInArrow(_join(spaces, kind), _FOUND), "found"))
+        units = _floats([bytes(r["vec"]) for r in sample], kind)
+        held = max(1, min(most, HELD_BYTES // (8 * units.shape[1])))
+        regions = Subspaces(units, max(REGIONS, -(-total // held)), cosine, 1)
+        counts = some.select("vec").mapInArrow(_home(regions, kind), "region long").groupBy("region").count().collect()  # a row for each region
+        parts = Parts(regions, {r["region"]: r["count"] for r in counts}, held)
+        spaces = Subspaces(units, max(1, -(-total // (parts.total * _CELL))), cosine, blocks)
+        routed = some.select("node", "n", "vec").mapInArrow(_route(parts, kind), _ROUTED)
+        routed = routed.repartitionById(parts.total, F.col("slot")).sortWithinPartitions("slot", "asks")
+        found.append(stage(routed.mapInArrow(_join(spaces, kind), _FOUND), "found"))
     if not found:
         return spark.createDataFrame([], _FOUND)
     whole = found[0]

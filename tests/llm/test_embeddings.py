@@ -97,3 +97,25 @@ def test_every_near_pair_is_within_its_share_in_some_block():
         asked = set(zip(row.tolist(), cell.tolist()))
         met |= np.array([(k, h) in asked for k, h in enumerate(spaces.home(i, rb[:, block]).tolist())])
     assert near.sum() > 50 and met[near].all()
+
+
+def test_vectors_travel_to_half_of_the_parts_and_every_near_pair_meets_in_one():
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(4000, 16))
+    vectors[:1500] = vectors[0] + rng.normal(size=(1500, 16)) * 0.05  # a hot region, in many parts
+    vectors[1500:2500] = vectors[2500:3500] + rng.normal(size=(1000, 16)) * 0.05
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    regions = embeddings.Subspaces(vectors[::2], 16, blocks=1)
+    points, nodes = vectors @ regions.rotation, np.arange(4000) * 7
+    region, n = np.unique(regions.home(0, points), return_counts=True)
+    parts = embeddings.Parts(regions, dict(zip(region.tolist(), n.tolist())), 150)
+    own = parts.held(points, nodes)
+    row, slot = parts.asked(points, own)
+    assert parts.total > 16 and own.max() == parts.total - 1
+    assert len(row) <= 4000 * (parts.total + 1) // 2 * 1.2
+    asked = set(zip(row.tolist(), slot.tolist()))
+    assert len(asked) == len(row) and not (asked & set(enumerate(own.tolist())))
+    near = np.argwhere(np.triu(vectors @ vectors.T >= 0.95, 1))
+    assert len(near) > 10000
+    for a, b in near[:: len(near) // 5000].tolist():
+        assert ((a, own[b]) in asked) + ((b, own[a]) in asked) + (own[a] == own[b]) == 1
