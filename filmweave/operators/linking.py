@@ -108,11 +108,11 @@ MANY_GRAMS = 1 << 15  # wanted grams from which on keywords are first left out w
 SMALL_BYTES = 8 << 20  # keywords up to this size are broadcast
 
 
-def _grams(text: Column, q: int | Column) -> Column:
+def _grams(text: Column, q: Column) -> Column:
     """All runs of q characters of a text."""
     count = F.length(text) - q + 1
     starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(text, i, F.lit(q) if isinstance(q, int) else q))
+    return F.transform(starts, lambda i: F.substring(text, i, q))
 
 
 def _chosen_grams(words: DataFrame) -> DataFrame:
@@ -155,13 +155,24 @@ def _gram_sizes(chosen: DataFrame) -> dict[int, Row]:
     return {r["q"]: r for r in chosen.groupBy(F.length("_gram").alias("q")).agg(F.count(F.lit(1)).alias("n"), bytes_).collect()}
 
 
-def _wanted(grams: DataFrame, lengths: list[int]) -> Column:
-    """``_gram``, exploded: the distinct grams of ``_link`` that pass the filter of ``grams``."""
+def _wanted(rows: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """``_id, _link, _gram``: for each of ``rows`` the distinct grams of its link that pass the filter of ``grams``.
+
+    Every place of a link is a row for as long as it takes to test it, since such rows are handled by compiled code and a
+    list of all grams within the row isn't. The hashes are a generated column, below which no test is pushed: each is taken
+    once. The grams themselves are cut where the filter lets one pass.
+    """
     tested = _Filter(grams, grams.count())
-    cut = F.concat(*[_grams(F.col("_link"), q) for q in lengths])
-    hashed = F.transform(cut, lambda g: F.struct(g.alias("gram"), F.xxhash64(g).alias("hash")))
-    passed = F.filter(hashed, lambda x: tested.passes(x["hash"]))
-    return F.explode(F.array_distinct(F.transform(passed, lambda x: x["gram"]))).alias("_gram")
+    sizes = sorted(lengths, reverse=True)
+    at = F.explode(F.sequence(F.lit(1), F.length("_link") - (sizes[-1] - 1))).alias("_at")
+    placed = rows.where(F.length("_link") >= sizes[-1]).select("_id", "_link", at)
+    hashes = F.array(*[F.xxhash64(F.substring("_link", F.col("_at"), F.lit(q))) for q in sizes])
+    hashed = placed.select("_id", "_link", "_at", F.posexplode(hashes).alias("_which", "_hash")).where(tested.passes(F.col("_hash")))
+    size = reduce(lambda c, q: c.when(F.col("_which") == q[0], q[1]), list(enumerate(sizes))[1:], F.when(F.col("_which") == 0, sizes[0]))
+    cut = hashed.select("_id", "_link", "_at", size.alias("_size"), F.substring("_link", F.col("_at"), size).alias("_gram"))
+    # Near the end of a link a cut is too short. A gram counts where it comes first.
+    first = (F.length("_gram") == F.col("_size")) & (F.instr("_link", F.col("_gram")) == F.col("_at"))
+    return cut.where(first).select("_id", "_link", "_gram")
 
 
 def _held(keywords: DataFrame, rows: DataFrame, keyword: str) -> DataFrame:
@@ -182,15 +193,14 @@ def _held(keywords: DataFrame, rows: DataFrame, keyword: str) -> DataFrame:
     lengths = _gram_sizes(chosen)
     if sum(r["n"] for r in lengths.values()) > MANY_GRAMS:
         common = stage(chosen.select(F.col("_common").alias("_gram")).distinct(), "common")
-        hits = rows.select(_wanted(common, list(lengths))).distinct()
+        hits = _wanted(rows, common, list(lengths)).select("_gram").distinct()
         chosen = stage(chosen.join(hits.withColumnRenamed("_gram", "_common"), "_common", "left_semi"), "chosen")
         lengths = _gram_sizes(chosen)
     found = []
     if lengths:
-        hit = _wanted(chosen, list(lengths))
         small = sum(r["bytes"] for r in lengths.values()) <= SMALL_BYTES
         # The planner doesn't see how much the links grow when cut, and must not broadcast them.
-        pairs = rows.select("_id", "_link", hit).join(F.broadcast(chosen) if small else chosen.hint("merge"), "_gram")
+        pairs = _wanted(rows, chosen, list(lengths)).join(F.broadcast(chosen) if small else chosen.hint("merge"), "_gram")
         found.append(pairs.filter(F.contains("_link", "_word")).select("_keyword", "_id", "_link"))
     if not lengths or not words.filter("_word = ''").isEmpty():  # every link holds the empty keyword, which is one row
         blank = words.filter("_word = ''").select("_keyword").withColumn("_all", F.lit(0))
@@ -214,8 +224,9 @@ def match_keywords_to_links(
     keywords: DataFrame, links: DataFrame, keyword: str = "keyword", link: str = "link"
 ) -> DataFrame:
     """Rows of ``links`` whose link holds at least one keyword; a row stays one row. Runs jobs when called."""
-    rows = stage(links.withColumn("_id", F.monotonically_increasing_id()).withColumn("_link", F.col(link)), "links")
-    held = _held(keywords, rows.select("_id", "_link").filter("_link IS NOT NULL"), keyword).select("_id").distinct()
+    rows = stage(links.withColumn("_id", F.monotonically_increasing_id()), "links")
+    texts = rows.select("_id", F.col(link).alias("_link")).filter("_link IS NOT NULL")
+    held = _held(keywords, texts, keyword).select("_id").distinct()
     return rows.join(held, "_id", "left_semi").select(*links.columns)
 
 

@@ -84,3 +84,18 @@ def test_a_generated_page_is_built_once(spark):
     """Pushed into the join beneath, the film test built it again for each of its two conditions."""
     shown = queries.wiki(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert shown.count("About Infobox film markup") == 1
+
+
+def test_places_of_links_are_tested_by_compiled_code_and_a_gram_counts_once(spark):
+    links = ["abcabcabcabc_abcabcabcabc", "naïve_café_au_lait_naïve_café_au_lait", "", "é", "abcabc", "xabc", None]
+    words = ["abcabc", "naïve café au lait", "é", "bc", "", "abcabcabcabc", "zz"]
+    df = spark.createDataFrame([(x,) for x in links], "link string")
+    keywords = spark.createDataFrame([(w,) for w in words], "keyword string")
+    expected = sorted((w, x) for w in words for x in links if x is not None and w.replace(" ", "_") in x)
+    found = linking.keyword_links(keywords, df)
+    assert sorted(map(tuple, found.collect())) == expected
+    rows = df.select(F.monotonically_increasing_id().alias("_id"), F.col("link").alias("_link"))
+    grams = keywords.select(F.col("keyword").alias("_gram"))
+    cut = linking._wanted(rows, grams, [12, 6, 2, 1])
+    assert sorted((r["_link"], r["_gram"]) for r in cut.collect()) == sorted(set((r["_link"], r["_gram"]) for r in cut.collect()))
+    assert "lambda" not in cut._jdf.queryExecution().executedPlan().toString()
