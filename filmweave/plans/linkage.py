@@ -17,14 +17,17 @@ def extract_infobox(films: DataFrame, text: str = "revision.text._VALUE", nested
 
     With ``nested`` the box is read once, by depth, into a map of its fields, and names and years come from those: inner
     templates, lists and piped links are read for what they are. Otherwise each field is a pattern of its own.
+    The box and the directors are generated columns then: a test on them, as linking has one, would otherwise be pushed
+    down to the page and would read the box anew for each place where it stands.
     """
     body = F.col(text)
     if nested:
-        boxes = films.select(infobox.clean_title(F.col("title")).alias("title_wiki"), folds.infobox_fields(body).alias("_box"))
-        box = F.col("_box")
+        title, box = infobox.clean_title(F.col("title")).alias("title_wiki"), F.col("_box")
+        boxes = films.select(title, F.explode(F.array(folds.infobox_fields(body))).alias("_box"))
+        boxes = boxes.select("title_wiki", "_box", F.explode(F.array(folds.names_in(box, "director"))).alias("director_wiki"))
         return boxes.select(
             "title_wiki",
-            folds.names_in(box, "director").alias("director_wiki"),
+            "director_wiki",
             folds.names_in(box, "music").alias("music"),
             folds.year_in(box, "released").alias("release"),
         )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filmweave.functions import fixed, infobox, text
 from filmweave.operators import linking
+from filmweave.plans.linkage import extract_infobox
 from filmweave.session import stage
 from registry import linking as queries
 
@@ -86,6 +87,14 @@ def test_a_generated_page_is_built_once(spark):
     assert shown.count("About Infobox film markup") == 1
 
 
+def test_nested_boxes_are_read_once_though_linking_tests_the_directors(spark):
+    pages = spark.createDataFrame([("A (film)", "{{Infobox film\n| director = [[B]]\n| music = C\n}}"), ("D", "none")], "title string, txt string")
+    left = stage(spark.createDataFrame([("A", ["B"])], "title string, director_list array<string>"), "left")
+    pairs = linking._pairs(left, extract_infobox(pages, "txt", nested=True))
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("<!--") == 1
+    assert [tuple(r) for r in pairs.collect()] == [("A", ["B"], "A", ["B"], ["C"], "not found")]
+
+
 def test_places_of_links_are_tested_by_compiled_code_and_a_gram_counts_once(spark):
     links = ["abcabcabcabc_abcabcabcabc", "naïve_café_au_lait_naïve_café_au_lait", "", "é", "abcabc", "xabc", None]
     words = ["abcabc", "naïve café au lait", "é", "bc", "", "abcabcabcabc", "zz"]
